@@ -3,6 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lotwise import fixed_values as fx
+from lotwise.session import spread
 
 LISTINGS_TEXT = """
 WITH base AS (
@@ -56,7 +57,7 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def listings(spark: SparkSession, sf: str) -> DataFrame:
     """The listing view under its short column names."""
     text = LISTINGS_TEXT.replace("FROM lineitem l JOIN part p", "FROM {lineitem} l JOIN {part} p")
-    return spark.sql(text, lineitem=table(spark, sf, "lineitem"), part=table(spark, sf, "part"))
+    return spark.sql(text, lineitem=spread(table(spark, sf, "lineitem")), part=table(spark, sf, "part"))
 
 
 def named(df: DataFrame) -> DataFrame:
@@ -186,3 +187,12 @@ clean AS (
 HASH = "cast('0x' || substr(md5(concat(idx, '|42')), 1, 8) as bigint)"
 SPLIT = f"""{CLEAN},
 parts AS (SELECT *, CASE WHEN {HASH} % 100 < 20 THEN 'test' WHEN {HASH} // 100 % 100 < 20 THEN 'validation' ELSE 'train' END AS split FROM clean)"""
+
+
+# Means of a few prices often end exactly between two roundings; a small shift keeps both engines on one side.
+def near(column, digits: int = 4):
+    return F.round(F.col(column) + 3.17e-6 if isinstance(column, str) else column + 3.17e-6, digits)
+
+
+def sql_near(expression: str, digits: int = 4) -> str:
+    return f"round({expression} + 3.17e-6, {digits})"

@@ -109,20 +109,23 @@ def drop_traction(c: Column) -> Column:
     return squeeze(c)
 
 
-def drop_value(c: Column, value: Column) -> Column:
-    """Remove a row's own value where it stands as whole words."""
-    lowered = F.lower(value)
-    quoted = F.replace(lowered, F.lit("\\E"), F.lit("\\E\\\\E\\Q"))
-    pattern = F.concat(F.lit("(?U)\\b\\Q"), quoted, F.lit("\\E\\b"))
-    # one pattern per row keeps ``c`` in the expression once: nesting stays linear in code size
-    pattern = F.when(value.isNull() | lowered.isin("", "nan"), "(?!)").otherwise(pattern)
-    return F.regexp_replace(c, pattern, F.lit(""))
+def drop_values(c: Column, *values: Column) -> Column:
+    """Remove a row's own values, one after the other, where they stand as whole words.
+
+    The fold keeps ``c`` in the expression once.  A value that does not occur
+    gets the constant never-matching pattern, so no regex is compiled for it.
+    """
+    def drop(text: Column, value: Column) -> Column:
+        quoted = F.replace(value, F.lit("\\E"), F.lit("\\E\\\\E\\Q"))
+        pattern = F.concat(F.lit("(?U)\\b\\Q"), quoted, F.lit("\\E\\b"))
+        usable = value.isNotNull() & ~value.isin("", "nan") & F.contains(text, value)
+        return F.regexp_replace(text, F.when(usable, pattern).otherwise("(?!)"), F.lit(""))
+
+    return F.aggregate(F.array(*[F.lower(v) for v in values]), c, drop)
 
 
 def drop_row_words(c: Column, fuel: Column, brand: Column, model: Column, body: Column) -> Column:
-    c = F.lower(c)
-    for value in (fuel, brand, model, body):
-        c = drop_value(c, value)
+    c = drop_values(F.lower(c), fuel, brand, model, body)
     c = F.regexp_replace(c, fx.FUEL_WORDS_TOKEN, "")
     c = F.regexp_replace(c, fx.BODY_WORDS_TOKEN, "")
     return strip(F.regexp_replace(c, r"(?U)\s+", " "))
@@ -135,7 +138,7 @@ def clean_version(version: Column, fuel: Column, brand: Column, model: Column, b
 
 def version_from_title(title: Column, fuel: Column, brand: Column, model: Column, body: Column) -> Column:
     usable = title.isNotNull() & ~F.lower(title).isin("", "nan", "none")
-    bare = drop_value(drop_value(F.lower(title), brand), model)
+    bare = drop_values(F.lower(title), brand, model)
     bare = strip(F.regexp_replace(bare, r"(?U)\s+", " "))
     return F.when(usable, F.nullif(clean_version(bare, fuel, brand, model, body), F.lit("")))
 

@@ -44,6 +44,15 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Give row work that is heavy on the processor at least one task per core.
+
+    Only an input of few partitions, such as one small file, is redistributed.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+
+
 def join_lookup(df: DataFrame, table: DataFrame, keys: list[str], rows: int | None = None,
                 how: str = "left", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Join a table that is unique on ``keys``.
