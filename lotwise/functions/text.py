@@ -7,6 +7,7 @@ from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import StringType
 
 from lotwise import fixed_values as fx
 
@@ -242,7 +243,7 @@ def ascii_words_squeezed(c: Column) -> Column:
     return F.regexp_replace(ascii_words(c), " +", " ")
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def ascii_words_unicode(texts: pd.Series) -> pd.Series:
     """Same as ``ascii_words`` with every one-to-many letter of Unicode; for distinct values."""
     folded = texts.str.lower().str.normalize("NFKD").str.encode("ascii", "ignore").str.decode("ascii")

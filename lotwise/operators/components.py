@@ -2,7 +2,7 @@
 
 from pyspark.sql import DataFrame, functions as F
 
-from lotwise.session import join_lookup, materialize
+from lotwise.session import join_lookup, materialize, materialize_counted
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame, keys: list[str]) -> DataFrame:
@@ -12,10 +12,10 @@ def connected_components(nodes: DataFrame, edges: DataFrame, keys: list[str]) ->
     out, so a lost executor costs one round at most; rounds go on until no
     label changes.
     """
-    both = materialize(edges.select(*keys, "a", "b")
+    both, rows = materialize_counted(edges.select(*keys, "a", "b")
                        .unionByName(edges.select(*keys, F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
     labels = nodes.select(*keys, "id", F.col("id").alias("root")).distinct()
-    if both.isEmpty():
+    if rows == 0:
         return labels
     labels = materialize(labels, "labels")
     while True:

@@ -17,7 +17,7 @@ from lotwise.operators.components import connected_components
 from lotwise.operators.relational import top_per_group
 from lotwise.operators.similarity import best_matches, profiles, similar_pairs
 from lotwise.operators.stats import cluster_labels
-from lotwise.session import materialize
+from lotwise.session import materialize, materialize_counted
 
 LEADERS = 32
 
@@ -83,8 +83,8 @@ def _crossing_balls(dense: DataFrame, heavy: DataFrame, close: DataFrame, keys:
     """
     pairs = (heavy.withColumnRenamed("ball", "a").join(heavy.withColumnRenamed("ball", "b"), keys)
              .where("a < b").join(close, keys + ["a", "b"], "left_anti"))
-    pairs = materialize(pairs, "ballpairs")
-    if pairs.isEmpty():
+    pairs, rows = materialize_counted(pairs, "ballpairs")
+    if rows == 0:
         return pairs
     profile = ["text", "codes", "tfs", "nsq"]
     across = keys + ["ball_a", "ball_b"]

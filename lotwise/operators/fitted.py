@@ -11,7 +11,7 @@ from pyspark.ml import Estimator, Model, Transformer
 from pyspark.ml.util import DefaultParamsReader, DefaultParamsWriter, MLReadable, MLReader, MLWritable, MLWriter
 from pyspark.sql import DataFrame, SparkSession
 
-from lotwise.session import join_lookup, materialize
+from lotwise.session import join_lookup, materialize_counted
 
 
 class _StepWriter(MLWriter):
@@ -66,8 +66,7 @@ class FittedModel(Model, _Saved):
         self.settings = settings
         self.tables, self.rows = {}, {}
         for name, table in (tables or {}).items():
-            self.tables[name] = materialize(table, name)
-            self.rows[name] = self.tables[name].count()
+            self.tables[name], self.rows[name] = materialize_counted(table, name)
 
     def _base_init(self):
         super().__init__()

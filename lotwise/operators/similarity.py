@@ -11,10 +11,11 @@ no de-duplication), and its exact cosine is computed there.
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DoubleType
 
 from lotwise.functions.text import ascii_words
 from lotwise.operators.relational import best_row
-from lotwise.session import materialize
+from lotwise.session import materialize, materialize_counted
 
 EXACT_FIRST = 0.6          # first round of a best-match search; the others go on to the full threshold
 SLACK = 1e-9
@@ -64,7 +65,7 @@ def leading(codes: Column, tfs: Column, nsq: Column, threshold: float) -> Column
     return F.slice(codes, F.lit(1), end["kept"])
 
 
-@F.arrow_udf("double")
+@F.arrow_udf(DoubleType())
 def sparse_dot(codes_a: pa.Array, tfs_a: pa.Array, codes_b: pa.Array, tfs_b: pa.Array) -> pa.Array:
     """Dot products of sorted sparse count vectors, one row per pair."""
     def flat(codes, tfs):
@@ -126,8 +127,9 @@ def best_matches(left: DataFrame, right: DataFrame, keys: list[str], threshold:
         best = materialize(best, "matches")
         found = best if found is None else found.unionByName(best)
         if place < len(rounds) - 1:
-            rest = materialize(left.join(best.select(*keys, F.col("a").alias("text")), keys + ["text"], "left_anti"), "rest")
-            if rest.isEmpty():
+            rest, rows = materialize_counted(
+                left.join(best.select(*keys, F.col("a").alias("text")), keys + ["text"], "left_anti"), "rest")
+            if rows == 0:
                 break
     return found.withColumnRenamed("a", "text")
 

@@ -7,7 +7,7 @@ from lotwise.functions.text import ascii_words
 from lotwise.operators.density import cluster_versions
 from lotwise.operators.fitted import FitStep, FittedModel
 from lotwise.operators.similarity import best_matches, match_catalogue, profiles, vocabulary
-from lotwise.session import join_lookup, materialize
+from lotwise.session import join_lookup, materialize, materialize_counted
 
 
 class HarmonizeVersions(FitStep):
@@ -71,8 +71,8 @@ class HarmonizeVersionsModel(FittedModel):
         # versions never seen in fit: closest canonical name of the brand and model
         unseen = (first.where(F.col("canon").isNull() & F.col(f"`{s['version']}`").isNotNull())
                   .select(*[F.col(f"`{k}`").alias(v) for k, v in cols.items()]).distinct())
-        unseen = materialize(unseen.where("brand is not null and model is not null"), "unseen")
-        if unseen.isEmpty():
+        unseen, rows = materialize_counted(unseen.where("brand is not null and model is not null"), "unseen")
+        if rows == 0:
             return first.withColumn(s["version"], F.coalesce("canon", F.col(f"`{s['version']}`"))).drop("canon")
         closest = closest_names(unseen, self.tables["names"], self.tables["grams"], s["threshold"])
         closest = materialize(closest, "closest")

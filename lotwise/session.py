@@ -4,13 +4,15 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 BROADCAST_ROWS = 200_000
 SALTS = 32
 
 _local_roots: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -32,6 +34,18 @@ def scratch_root(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent.parent
+    folder = tempfile.mkdtemp(prefix="lotwise-package-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    context.addPyFile(shutil.make_archive(f"{folder}/lotwise", "zip", root, "lotwise"))
+    _shipped.add(context.applicationId)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/lotwise/{name}-{uuid.uuid4().hex}"
 
@@ -44,6 +58,13 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def materialize_counted(df: DataFrame, name: str = "table") -> tuple[DataFrame, int]:
+    """Same, with the row count observed while writing (no second job)."""
+    seen = Observation()
+    written = materialize(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
+    return written, seen.get["rows"]
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give row work that is heavy on the processor at least one task per core.
 
