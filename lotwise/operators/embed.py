@@ -21,11 +21,12 @@ def word_grams(text: Column) -> Column:
     """2- and 3-grams of words of two letters or more, accents removed."""
     words = F.regexp_extract_all(fold_letters(F.coalesce(text, F.lit(""))), F.lit(r"(?U)\b(\w\w+)\b"), F.lit(1))
 
-    def joined(n):
-        starts = F.when(F.size(words) >= n, F.sequence(F.lit(1), F.size(words) - (n - 1)))
+    def joined(w, n):
+        starts = F.when(F.size(w) >= n, F.sequence(F.lit(1), F.size(w) - (n - 1)))
         return F.transform(F.coalesce(starts, F.array().cast("array<int>")),
-                           lambda i: F.array_join(F.slice(words, i, F.lit(n)), " "))
-    return F.concat(joined(2), joined(3))
+                           lambda i: F.array_join(F.slice(w, i, F.lit(n)), " "))
+    # the outer lambda binds the words: they are found once, not once per gram
+    return F.transform(F.array(words), lambda w: F.concat(joined(w, 2), joined(w, 3)))[0]
 
 
 def frequent_terms(terms: DataFrame, rows: int, limit: int, min_df: int, max_df: float) -> list:

@@ -25,12 +25,12 @@ def grams(text: Column, low: int = 2, high: int = 3) -> Column:
     """All character n-grams of the text, runs of white space taken as one space."""
     squeezed = F.regexp_replace(text, r"\s+", " ")
 
-    def of_length(n: int) -> Column:
-        starts = F.when(F.length(squeezed) >= n, F.sequence(F.lit(1), F.length(squeezed) - (n - 1)))
-        return F.transform(F.coalesce(starts, F.array().cast("array<int>")),
-                           lambda i: F.substring(squeezed, i, F.lit(n)))
+    def of_length(s: Column, n: int) -> Column:
+        starts = F.when(F.length(s) >= n, F.sequence(F.lit(1), F.length(s) - (n - 1)))
+        return F.transform(F.coalesce(starts, F.array().cast("array<int>")), lambda i: F.substring(s, i, F.lit(n)))
 
-    return F.concat(*[of_length(n) for n in range(low, high + 1)])
+    # the outer lambda binds the squeezed text: it is worked out once, not once per gram
+    return F.transform(F.array(squeezed), lambda s: F.concat(*[of_length(s, n) for n in range(low, high + 1)]))[0]
 
 
 def vocabulary(texts: DataFrame, low: int = 2, high: int = 3) -> DataFrame:
