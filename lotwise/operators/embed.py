@@ -17,16 +17,36 @@ from lotwise.operators.fitted import FitStep, FittedModel
 from lotwise.session import materialize_counted
 
 
-def word_grams(text: Column) -> Column:
-    """2- and 3-grams of words of two letters or more, accents removed."""
-    words = F.regexp_extract_all(fold_letters(F.coalesce(text, F.lit(""))), F.lit(r"(?U)\b(\w\w+)\b"), F.lit(1))
+def text_words(text: Column) -> Column:
+    """Words of two letters or more, lower case, accents removed."""
+    return F.regexp_extract_all(fold_letters(F.coalesce(text, F.lit(""))), F.lit(r"(?U)\b(\w\w+)\b"), F.lit(1))
+
 
+def word_grams(text: Column) -> Column:
+    """2- and 3-grams of the words, joined by one space."""
     def joined(w, n):
         starts = F.when(F.size(w) >= n, F.sequence(F.lit(1), F.size(w) - (n - 1)))
         return F.transform(F.coalesce(starts, F.array().cast("array<int>")),
                            lambda i: F.array_join(F.slice(w, i, F.lit(n)), " "))
     # the outer lambda binds the words: they are found once, not once per gram
-    return F.transform(F.array(words), lambda w: F.concat(joined(w, 2), joined(w, 3)))[0]
+    return F.transform(F.array(text_words(text)), lambda w: F.concat(joined(w, 2), joined(w, 3)))[0]
+
+
+def _known_grams(words: pa.ListArray, names: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(document, term place) of every 2- and 3-gram that is a known term."""
+    flat = words.flatten()
+    doc = np.repeat(np.arange(len(words), dtype=np.int64), np.diff(words.offsets.to_numpy()))
+    docs, terms = [], []
+    for n in (2, 3):
+        if len(flat) < n:
+            continue
+        shifted = [flat.slice(i, len(flat) - n + 1) for i in range(n)]
+        places = pc.index_in(pc.binary_join_element_wise(*shifted, " "), value_set=names)
+        whole = (doc[:len(doc) - n + 1] == doc[n - 1:]) & places.is_valid().to_numpy(zero_copy_only=False)
+        docs.append(doc[:len(doc) - n + 1][whole])
+        terms.append(places.fill_null(0).to_numpy().astype(np.int64)[whole])
+    empty = np.array([], dtype=np.int64)
+    return np.concatenate(docs or [empty]), np.concatenate(terms or [empty])
 
 
 def frequent_terms(terms: DataFrame, rows: int, limit: int, min_df: int, max_df: float) -> list:
@@ -94,20 +114,16 @@ class DescriptionScoresModel(FittedModel):
         offset = np.array([r["mean"] for r in rows]) @ axes
 
         @F.arrow_udf(ArrayType(DoubleType()))
-        def project(terms: pa.Array) -> pa.Array:
-            sizes = np.diff(terms.offsets.to_numpy())
-            places = pc.index_in(terms.flatten(), value_set=names)
-            known = places.is_valid().to_numpy(zero_copy_only=False)
-            doc = np.repeat(np.arange(len(sizes)), sizes)[known]
-            term = places.drop_null().to_numpy().astype(np.int64)
+        def project(words: pa.Array) -> pa.Array:
+            doc, term = _known_grams(words, names)
             cell, tf = np.unique(doc * len(idf) + term, return_counts=True)
             doc, term = cell // len(idf), cell % len(idf)
             weight = tf * idf[term]
-            length = np.sqrt(np.bincount(doc, weights=weight ** 2, minlength=len(sizes)))
+            length = np.sqrt(np.bincount(doc, weights=weight ** 2, minlength=len(words)))
             length[length == 0] = 1.0
-            scores = np.stack([np.bincount(doc, weights=weight * axes[term, j], minlength=len(sizes)) / length - offset[j]
+            scores = np.stack([np.bincount(doc, weights=weight * axes[term, j], minlength=len(words)) / length - offset[j]
                                for j in range(axes.shape[1])], axis=1)
-            ends = np.arange(len(sizes) + 1, dtype=np.int32) * axes.shape[1]
+            ends = np.arange(len(words) + 1, dtype=np.int32) * axes.shape[1]
             return pa.ListArray.from_arrays(pa.array(ends), pa.array(scores.reshape(-1)))
         return project
 
@@ -115,7 +131,7 @@ class DescriptionScoresModel(FittedModel):
         s = self.settings
         if s["k"] == 0:
             return df
-        scored = df.withColumn("_e", self.projection()(word_grams(F.col(f"`{s['text']}`"))))
+        scored = df.withColumn("_e", self.projection()(text_words(F.col(f"`{s['text']}`"))))
         return scored.withColumns({f"embed_{j + 1}": F.col("_e")[j] for j in range(s["k"])}).drop("_e")
 
     def first(self, k: int) -> "DescriptionScoresModel":
