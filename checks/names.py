@@ -22,8 +22,8 @@ def _vectors(name, source):
     return f"""{name}_g AS (SELECT text, sq, unnest(list_concat(
       list_transform(range(1, greatest(length(sq), 1)), lambda i: substring(sq, i, 2)), list_transform(range(1, greatest(length(sq) - 1, 1)), lambda i: substring(sq, i, 3)))) AS gram
     FROM (SELECT DISTINCT text, regexp_replace(text, '\\s+', ' ', 'g') AS sq FROM {source}) t),
-  {name} AS (SELECT text, gram, count(*) AS tf FROM {name}_g GROUP BY ALL),
-  {name}_n AS (SELECT text, sum(tf * tf) AS nsq FROM {name} GROUP BY text)"""
+  {name} AS MATERIALIZED (SELECT text, gram, count(*) AS tf FROM {name}_g GROUP BY ALL),
+  {name}_n AS MATERIALIZED (SELECT text, sum(tf * tf) AS nsq FROM {name} GROUP BY text)"""
 
 
 def versions_of(spark, sf):
@@ -32,13 +32,13 @@ def versions_of(spark, sf):
     return materialize(out.withColumn("text", ascii_words(c("version"))), "versions")
 
 
-_VERSIONS = f"versions AS (SELECT marca AS brand, modelo AS model, version, count(*) AS n, {_words('version')} AS text FROM listings WHERE version IS NOT NULL GROUP BY ALL)"
+_VERSIONS = f"versions AS MATERIALIZED (SELECT marca AS brand, modelo AS model, version, count(*) AS n, {_words('version')} AS text FROM listings WHERE version IS NOT NULL GROUP BY ALL)"
 _VOCAB = _vectors("v", "versions") + ", vocab AS (SELECT DISTINCT gram FROM v)"
 _CAT = f"""names AS (SELECT brand, model, version AS name, {_words('version')} AS text FROM catalogue WHERE version IS NOT NULL),
   {_vectors('k0', 'names')}, k AS (SELECT * FROM k0 WHERE gram IN (SELECT gram FROM vocab)), k_n AS (SELECT text, sum(tf * tf) AS nsq FROM k GROUP BY text)"""
-_BEST = """scored AS (SELECT s.brand, s.model, s.version, m.name, sum(v.tf * k.tf)::DOUBLE / sqrt((max(vn.nsq) * max(kn.nsq))::DOUBLE) AS score
-    FROM versions s JOIN names m ON s.brand = m.brand AND s.model = m.model JOIN v ON v.text = s.text JOIN k ON k.text = m.text AND k.gram = v.gram
-    JOIN v_n vn ON vn.text = s.text JOIN k_n kn ON kn.text = m.text GROUP BY s.brand, s.model, s.version, m.name),
+_BEST = """sg AS (SELECT s.brand, s.model, s.version, s.text, v.gram, v.tf FROM versions s JOIN v USING (text)), kg AS (SELECT m.brand, m.model, m.name, m.text, k.gram, k.tf FROM names m JOIN k USING (text)),
+  dot0 AS (SELECT brand, model, sg.version, sg.text AS t1, kg.name, kg.text AS t2, sum(sg.tf * kg.tf) AS dot FROM sg JOIN kg USING (brand, model, gram) GROUP BY ALL),
+  scored AS (SELECT brand, model, version, name, dot::DOUBLE / sqrt((a.nsq * b.nsq)::DOUBLE) AS score FROM dot0 JOIN v_n a ON a.text = t1 JOIN k_n b ON b.text = t2),
   best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY brand, model, version ORDER BY score DESC, name) AS rn FROM scored) t WHERE rn = 1 AND score >= 0.2)"""
 
 
@@ -64,10 +64,10 @@ def mapping_lookup(spark, sf):
 
 _DBSCAN = """grp AS (SELECT brand, model, greatest(2, sum(n)::BIGINT // 10) AS least FROM versions WHERE text <> '' GROUP BY ALL),
   pts AS (SELECT brand, model, text, sum(n)::BIGINT AS w FROM versions WHERE text <> '' GROUP BY ALL),
-  sims AS (SELECT a.brand, a.model, a.text AS x, b.text AS y, b.w, sum(p.tf * q.tf)::DOUBLE / sqrt((max(pn.nsq) * max(qn.nsq))::DOUBLE) AS score
-    FROM pts a JOIN pts b ON a.brand = b.brand AND a.model = b.model JOIN v p ON p.text = a.text JOIN v q ON q.text = b.text AND q.gram = p.gram
-    JOIN v_n pn ON pn.text = a.text JOIN v_n qn ON qn.text = b.text GROUP BY a.brand, a.model, a.text, b.text, b.w),
-  near AS (SELECT * FROM sims WHERE score >= 0.7),
+  pg AS MATERIALIZED (SELECT p.brand, p.model, p.text, v.gram, v.tf FROM pts p JOIN v USING (text)),
+  dots AS MATERIALIZED (SELECT a.brand, a.model, a.text AS x, b.text AS y, sum(a.tf * b.tf) AS dot FROM pg a JOIN pg b USING (brand, model, gram) GROUP BY ALL),
+  near AS MATERIALIZED (SELECT d.brand, d.model, d.x, d.y, p.w, dot::DOUBLE / sqrt((xn.nsq * yn.nsq)::DOUBLE) AS score FROM dots d JOIN v_n xn ON xn.text = d.x JOIN v_n yn ON yn.text = d.y
+    JOIN pts p ON p.brand = d.brand AND p.model = d.model AND p.text = d.y WHERE dot::DOUBLE / sqrt((xn.nsq * yn.nsq)::DOUBLE) >= 0.7),
   core AS (SELECT brand, model, x AS text FROM near JOIN grp USING (brand, model) GROUP BY brand, model, x HAVING sum(w) >= max(least)),
   edges AS (SELECT n.brand, n.model, n.x, n.y FROM near n JOIN core a ON a.brand = n.brand AND a.model = n.model AND a.text = n.x JOIN core b ON b.brand = n.brand AND b.model = n.model AND b.text = n.y),
   reach AS (SELECT brand, model, x, y FROM edges UNION SELECT r.brand, r.model, r.x, e.y FROM reach r JOIN edges e ON e.brand = r.brand AND e.model = r.model AND e.x = r.y),
@@ -95,7 +95,7 @@ _REST = """matched AS (SELECT s.*, b.name, coalesce(b.name, s.version) AS canon
   versions AS (SELECT brand, model, version, n, text FROM own o WHERE NOT (has AND EXISTS (SELECT 1 FROM lone x WHERE x.brand = o.brand AND x.model = o.model)))"""
 _MAPPING = f"""WITH RECURSIVE {LC[5:]}, {_VERSIONS.replace('versions AS', 'versions0 AS').replace('FROM listings WHERE', 'FROM SRC WHERE')},
   {_VOCAB.replace('FROM versions)', 'FROM versions0)')}, {_CAT}, {_BEST.replace('FROM versions s', 'FROM versions0 s')}, {_REST}, {_DBSCAN},
-  mapping AS (SELECT brand, model, version, canon FROM matched m WHERE canon <> version OR (EXISTS (SELECT 1 FROM lone x WHERE x.brand = m.brand AND x.model = m.model) AND EXISTS (SELECT 1 FROM hascat h WHERE h.brand = m.brand AND h.model = m.model))
+  mapping AS MATERIALIZED (SELECT brand, model, version, canon FROM matched m WHERE canon <> version OR (EXISTS (SELECT 1 FROM lone x WHERE x.brand = m.brand AND x.model = m.model) AND EXISTS (SELECT 1 FROM hascat h WHERE h.brand = m.brand AND h.model = m.model))
     UNION ALL SELECT m.brand, m.model, m.version, coalesce(l.version, m.version) FROM member m LEFT JOIN lab l ON l.brand = m.brand AND l.model = m.model AND l.cluster = m.cluster)"""
 
 
@@ -107,14 +107,15 @@ def version_mapping(spark, sf):
 
 
 _HASHED = "cast('0x' || substr(md5(concat(idx, '|42')), 1, 8) as bigint) % 100 >= 20"
-_SEEN = """names2 AS (SELECT DISTINCT brand, model, canon AS name, W AS text FROM mapping),
-  unseen AS (SELECT DISTINCT l.marca AS brand, l.modelo AS model, l.version, U AS text FROM listings l WHERE l.version IS NOT NULL
+_SEEN = """names2 AS MATERIALIZED (SELECT DISTINCT brand, model, canon AS name, W AS text FROM mapping),
+  unseen AS MATERIALIZED (SELECT DISTINCT l.marca AS brand, l.modelo AS model, l.version, U AS text FROM listings l WHERE l.version IS NOT NULL
     AND NOT EXISTS (SELECT 1 FROM mapping m WHERE m.brand = l.marca AND m.model = l.modelo AND m.version = l.version))""".replace(
     "W AS", _words("canon") + " AS").replace("U AS", _words("l.version") + " AS")
 _CLOSEST = f"""{_SEEN}, {_vectors('a0', 'unseen')}, a AS (SELECT * FROM a0 WHERE gram IN (SELECT gram FROM vocab)), a_n AS (SELECT text, sum(tf * tf) AS nsq FROM a GROUP BY text),
   {_vectors('d0', 'names2')}, d AS (SELECT * FROM d0 WHERE gram IN (SELECT gram FROM vocab)), d_n AS (SELECT text, sum(tf * tf) AS nsq FROM d GROUP BY text),
-  sc AS (SELECT s.brand, s.model, s.version, m.name, sum(a.tf * d.tf)::DOUBLE / sqrt((max(an.nsq) * max(dn.nsq))::DOUBLE) AS score FROM unseen s JOIN names2 m ON s.brand = m.brand AND s.model = m.model
-    JOIN a ON a.text = s.text JOIN d ON d.text = m.text AND d.gram = a.gram JOIN a_n an ON an.text = s.text JOIN d_n dn ON dn.text = m.text GROUP BY s.brand, s.model, s.version, m.name),
+  ag AS MATERIALIZED (SELECT s.brand, s.model, s.version, s.text, a.gram, a.tf FROM unseen s JOIN a USING (text)), dg AS MATERIALIZED (SELECT m.brand, m.model, m.name, m.text, d.gram, d.tf FROM names2 m JOIN d USING (text)),
+  dot1 AS (SELECT brand, model, ag.version, ag.text AS t1, dg.name, dg.text AS t2, sum(ag.tf * dg.tf) AS dot FROM ag JOIN dg USING (brand, model, gram) GROUP BY ALL),
+  sc AS (SELECT brand, model, version, name, dot::DOUBLE / sqrt((x.nsq * y.nsq)::DOUBLE) AS score FROM dot1 JOIN a_n x ON x.text = t1 JOIN d_n y ON y.text = t2),
   closest AS (SELECT brand, model, version, name FROM (SELECT *, row_number() OVER (PARTITION BY brand, model, version ORDER BY score DESC, name) AS rn FROM sc) t WHERE rn = 1 AND score >= 0.2)"""
 
 

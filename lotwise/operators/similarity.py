@@ -90,13 +90,16 @@ def similar_pairs(left: DataFrame, right: DataFrame, keys: list[str], threshold:
     ``self_join`` each unordered pair of different texts appears once.
     """
     def side(df, name):
-        return df.select(*keys, F.explode(leading(F.col("codes"), F.col("tfs"), F.col("nsq"), threshold)).alias("code"),
-                         F.struct("text", "codes", "tfs", "nsq").alias(name))
+        # each leading code comes with the rarer codes before it
+        lead = leading(F.col("codes"), F.col("tfs"), F.col("nsq"), threshold)
+        return (df.select(*keys, "text", "codes", "tfs", "nsq", F.posexplode(lead).alias("place", "code"))
+                .select(*keys, "code", F.struct("text", "codes", "tfs", "nsq",
+                                                F.slice("codes", F.lit(1), F.col("place")).alias("before")).alias(name)))
 
     joined = side(left, "l").join(side(right, "r"), keys + ["code"])
     if self_join:
         joined = joined.where(F.col("l.text") < F.col("r.text"))
-    joined = joined.where(F.col("code") == F.array_min(F.array_intersect("l.codes", "r.codes")))
+    joined = joined.where(~F.arrays_overlap("l.before", "r.before"))       # no earlier gram in common
     dot = sparse_dot("l.codes", "l.tfs", "r.codes", "r.tfs")
     scored = joined.select(*keys, F.col("l.text").alias("a"), F.col("r.text").alias("b"),
                            dot.alias("dot"), (F.col("l.nsq") * F.col("r.nsq")).alias("size"))
