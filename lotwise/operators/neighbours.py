@@ -44,6 +44,11 @@ def _vectors(df: DataFrame, columns: list[str]) -> DataFrame:
     return df.select(F.array(*values).alias("x"), mask.cast("int").alias("mask"))
 
 
+def _shared(vector: str, space: str):
+    """The vector with every column outside the space blanked."""
+    return F.transform(vector, lambda v, i: F.when(F.getbit(F.col(space), i) == 1, v))
+
+
 def _bits(mask: int) -> list[int]:
     return [i for i in range(int(mask).bit_length()) if int(mask) >> i & 1]
 
@@ -88,6 +93,9 @@ class KnnImputerModel(FittedModel):
         for dm, found in spaces.items():
             space_of = F.when(F.col("mask") == dm, F.array(*[F.lit(v) for v in sorted(found)])).otherwise(space_of)
         spread = donors.select("x", F.col("mask").alias("dm"), "w", F.explode(space_of).alias("space"))
+        # donors alike on the shared columns are equally far from everyone: the first k of them are enough
+        spread = materialize(top_per_group(spread.withColumn("p", _shared("x", "space")), ["dm", "space", "p"],
+                                           [F.col("x")], k).select("x", "dm", "w", "space"), "spread")
 
         # pivots: a fixed number of donors per pattern and space, chosen by hash
         heads = top_per_group(spread, ["dm", "space"], [F.xxhash64("x"), F.col("x")], self.settings["pivots"]).collect()
@@ -137,8 +145,10 @@ class KnnImputerModel(FittedModel):
         for rm, masks in uses.items():
             use_of = F.when(F.col("mask") == rm, F.array(*[F.lit(v) for v in masks]).cast("array<int>")).otherwise(use_of)
         wanted = (asked.withColumn("dm", F.explode(use_of)).withColumn("space", F.col("mask").bitwiseAND(F.col("dm")))
-                  .select("x", F.col("mask").alias("rm"), "dm", "space"))
-        visits = wanted.mapInPandas(visit, "x array<double>, rm int, dm int, space int, cell bigint, ring int, gap double, bound double")
+                  .select("x", "dm", "space", _shared("x", "space").alias("p")))
+        # receivers alike on the shared columns search once
+        searched = wanted.select(F.col("p").alias("x"), "dm", "space").distinct()
+        visits = searched.mapInPandas(visit, "x array<double>, dm int, space int, cell bigint, ring int, gap double, bound double")
         radius = sizes.select(*cell, "radius")
         ringed = join_lookup(placed, radius, cell, len(rows)).withColumn("ring", F.when(F.col("radius") > 0, F.least(
             F.floor(F.col("reach") / F.col("radius") * RINGS), F.lit(RINGS - 1))).otherwise(0).cast("int")).drop("radius")
@@ -147,7 +157,8 @@ class KnnImputerModel(FittedModel):
         shared = F.aggregate(F.zip_with("x", "y", lambda a, b: F.coalesce((a - b) * (a - b), F.lit(0.0))),
                              F.lit(0.0), lambda acc, v: acc + v)
         met = met.withColumn("d2", shared * F.lit(float(width)) / F.bit_count("space"))
-        near = top_per_group(met, ["x", "dm"], [F.col("d2"), F.col("y")], k)
+        near = top_per_group(met, ["x", "dm", "space"], [F.col("d2"), F.col("y")], k)
+        near = near.select(F.col("x").alias("p"), "dm", "space", "y", "w", "d2").join(wanted, ["p", "dm", "space"])
 
         lacking = F.filter(F.sequence(F.lit(0), F.lit(width - 1)),
                            lambda i: F.element_at("y", i + 1).isNotNull() & F.element_at("x", i + 1).isNull())
