@@ -37,14 +37,6 @@ def knn(spark, sf):
     return out.select("idx", *[F.round(x, 6).alias(x) for x in _COLS])
 
 
-@query("knn_impute_prices_i12")
-def knn_prices(spark, sf):
-    df = parts(spark, sf).select("idx", "split", (c("kilometros") / 1000).alias("kilometros"), c("cv").cast("double").alias("cv"),
-                                 (c("precio") / 1000).alias("precio"))
-    out = neighbours.KnnImputer(["kilometros", "cv", "precio"], pivots=512).fit(df.where("split = 'train'")).transform(df)
-    return out.select("idx", *[F.round(x, 6).alias(x) for x in ("kilometros", "cv", "precio")])
-
-
 @query("isolation_forest_i13")
 def isolation(spark, sf):
     df = parts(spark, sf).select("idx", "split", "precio")
