@@ -1,7 +1,7 @@
 """Car records in JSON: scan, flatten, look-up of listings, and match answers."""
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from lotwise import fixed_values as fx
 from lotwise.functions.text import ascii_words, repair_letters
@@ -10,9 +10,10 @@ from lotwise.session import materialize
 
 TEXTS = ["Marca", "Modelo", "Version", "Carroceria", "Segmento", "Propulsion", "Transmision",
          "Potencia", "Cilindrada", "Origen", "Garantia"]
-RECORD = StructType.fromDDL(
-    ", ".join(f"{c} string" for c in TEXTS)
-    + ", VersionYear string, Precio struct<Moneda: string, Importe: double>, _corrupt_record string")
+RECORD = StructType(
+    [StructField(name, StringType()) for name in [*TEXTS, "VersionYear"]]
+    + [StructField("Precio", StructType([StructField("Moneda", StringType()), StructField("Importe", DoubleType())])),
+       StructField("_corrupt_record", StringType())])
 FLAT = ["Marca", "Modelo", "Version", "VersionYear", "Carroceria", "Segmento", "Propulsion", "Transmision",
         "Potencia", "Cilindrada", "Origen", "Garantia", "Moneda", "Importe"]
 

@@ -1,7 +1,7 @@
 """Scans and sinks at the edges: CSV with missing-value words, catalogue, Parquet between stages."""
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import LongType, StringType, StructType
 
 from lotwise import fixed_values as fx
 
@@ -18,7 +18,8 @@ def read_csv(spark: SparkSession, path: str, schema: StructType, na_words: list[
     return raw.select(*[known(f.name).try_cast(f.dataType).alias(f.name) for f in schema])
 
 
-CATALOGUE_SCHEMA = StructType.fromDDL("Brand string, Model string, Version string, Quantity bigint")
+CATALOGUE_SCHEMA = (StructType().add("Brand", StringType()).add("Model", StringType())
+                    .add("Version", StringType()).add("Quantity", LongType()))
 
 
 def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
