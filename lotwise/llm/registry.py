@@ -1,0 +1,22 @@
+"""The queries of this folder and the SQL that checks them."""
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+
+
+def query(name: str, sql: str | None = None):
+    """Register a query and, where SQL can say it, the text that checks it."""
+    def add(fn):
+        QUERIES[name] = fn
+        if sql is not None:
+            SQL[name] = sql
+        return fn
+    return add
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
