@@ -7,6 +7,7 @@ and returns the columns of ``documents``; the last one returns token ids.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -18,6 +19,16 @@ from lotwise.session import materialize, ship_package
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def shipped(stage: Stage) -> Stage:
+    """Send the package to the Python workers before the stage runs."""
+    @wraps(stage)
+    def with_package(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return stage(spark, docs, sf_dir)
+    return with_package
+
+
+@shipped
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that the chain tagger predicts as toxic go.  The fifth of the labels held out elsewhere is unused here too."""
     held_out = language.held_out("doc_id", 5, 0)
@@ -30,6 +41,7 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return lines.without_boilerplate(docs)
 
 
+@shipped
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates stays."""
     return ngram_join.one_per_group(docs)
@@ -40,6 +52,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mix(docs)
 
 
+@shipped
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, packed as little-endian unsigned 32-bit integers, their number, and the text they decode to."""
     out = pieces.encode_documents(docs, tokenizer_path())
@@ -60,7 +73,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages in turn, each written as Parquet and read again."""
-    ship_package(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = materialize(stage(spark, docs, sf_dir), f"stage-{name}")
