@@ -37,9 +37,12 @@ apache-1.1 | 1 | apache | apache license version 1 1 ; apache software license v
 apache-1.0 | 1 | apache | apache license version 1 0 ; apache software license version 1 0 ; apache license 1 0
 apache | 2 | apache | apache license ; apache licence ; apache software license ; licensed under the apache license ; apache software foundation license
 mit | 1 | granted | permission is hereby granted free of charge to any person obtaining a copy
-mit | 2 | mit | the mit license ; mit license ; mit licence ; released under the mit license ; distributed under the mit license ; mit x11 license ; licensed under the mit license
-mit | 3 | mit | mit licensed ; license mit ; licensed under mit
-mit-0 | 1 | mit | mit no attribution ; mit 0 license ; mit 0
+mit | 2 | license | the mit license ; mit license ; released under the mit license ; distributed under the mit license ; mit x11 license ; licensed under the mit license
+mit | 2 | licence | the mit licence ; mit licence ; released under the mit licence
+mit | 3 | license | license mit
+mit | 3 | licensed | mit licensed ; licensed under mit ; licensed under the mit
+mit-0 | 1 | attribution | mit no attribution ; mit no attribution license
+mit-0 | 1 | license | mit 0 license
 x11 | 2 | x11 | x11 license ; x11 licence ; x consortium x11 license
 bsd-3-clause | 1 | bsd | bsd 3 clause ; 3 clause bsd ; three clause bsd ; new bsd license ; modified bsd license ; revised bsd license ; bsd 3 clause license
 bsd-3-clause | 1 | endorse | neither the name of the [copyright] [holder] nor the names of its contributors may be used to endorse ; may be used to endorse or promote products derived from this software
@@ -95,11 +98,11 @@ sspl | 1 | server | server side public license version 1 ; server side public li
 elastic-2.0 | 1 | elastic | elastic license 2 0 ; elastic license version 2 0 ; elastic license
 commons-clause | 1 | commons | commons clause license condition v 1 0 ; commons clause license ; commons clause
 cc0-1.0 | 1 | cc0 | cc0 1 0 universal ; cc0 1 0 ; cc0 license ; creative commons cc0 ; cc0 public domain dedication ; licensed under cc0
-cc-by-nc-nd | 1 | nd | cc by nc nd # 0 ; cc by nc nd ; creative commons attribution noncommercial noderivatives nd
-cc-by-nc-sa | 1 | nc | cc by nc sa # 0 ; cc by nc sa ; by nc sa # 0
-cc-by-nc | 1 | nc | cc by nc # 0 ; cc by nc ; licensed under cc by nc ; cc by nc license
-cc-by-nd | 1 | nd | cc by nd # 0 ; cc by nd ; licensed under cc by nd
-cc-by-sa | 1 | sa | cc by sa # 0 ; cc by sa ; licensed under cc by sa ; cc by sa license
+cc-by-nc-nd | 1 | cc | cc by nc nd # 0 ; cc by nc nd ; licensed under cc by nc nd
+cc-by-nc-sa | 1 | cc | cc by nc sa # 0 ; cc by nc sa ; licensed under cc by nc sa
+cc-by-nc | 1 | cc | cc by nc # 0 ; cc by nc ; licensed under cc by nc ; cc by nc license
+cc-by-nd | 1 | cc | cc by nd # 0 ; cc by nd ; licensed under cc by nd
+cc-by-sa | 1 | cc | cc by sa # 0 ; cc by sa ; licensed under cc by sa ; cc by sa license
 cc-by-4.0 | 1 | cc | cc by 4 0 ; cc by 4 0 international ; licensed under cc by 4 0
 cc-by-3.0 | 1 | cc | cc by 3 0 ; cc by 3 0 unported ; licensed under cc by 3 0
 cc-by | 2 | cc | cc by ; cc by license ; licensed under cc by
@@ -132,6 +135,7 @@ class Signature:
     label: str
     priority: int
     keyword: str
+    literal: str        # the longest run of words that every match contains, padded
     pattern: str
 
 
@@ -150,10 +154,21 @@ def compiled(pattern: str) -> str:
     return "".join(out)
 
 
+def literal(pattern: str) -> str:
+    """The longest run of plain words in a pattern, padded like the text."""
+    runs = [[]]
+    for token in pattern.split():
+        if token[0] in "[(#":
+            runs.append([])
+        else:
+            runs[-1].append(token)
+    return "".join(f" {w} " for w in max(runs, key=lambda r: sum(len(w) + 2 for w in r)))
+
+
 def signatures() -> tuple[Signature, ...]:
     """The table above, in its order, which decides between equal spans of equal priority."""
     out = []
     for line in SIGNATURES.strip().splitlines():
         label, priority, keyword, patterns = (x.strip() for x in line.split(" | "))
-        out += [Signature(label, int(priority), keyword, compiled(p)) for p in patterns.split(" ; ")]
+        out += [Signature(label, int(priority), keyword, literal(p), compiled(p)) for p in patterns.split(" ; ")]
     return tuple(out)

@@ -13,27 +13,51 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from lotwise.llm.license_rules import BASE, WEIGHTS, Signature, compiled, signatures
 
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: Words are runs of these once A-Z is lowered, so letters of either case; the others stand between words.
+INSIDE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
+OTHERS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 SPANS = "array<struct<start:bigint,stop:bigint>>"
 
 
-def words(text: Column) -> Column:
-    """Words of the text with A-Z lowered; null has none."""
-    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), F.lit(WORD), F.lit(0))
+def word_count(text: Column) -> Column:
+    """Number of words: of each word its first character stays, and nothing else."""
+    return F.length(F.regexp_replace(text, f"{OTHERS}*+({INSIDE}){INSIDE}*+|{OTHERS}++", "$1")).cast("bigint")
 
 
-def padded(words_: Column) -> Column:
-    return F.when(F.size(words_) > 0, F.concat(F.lit(" "), F.array_join(words_, "  "), F.lit(" "))).otherwise(F.lit(""))
+def padded(text: Column) -> Column:
+    """The words of a text with A-Z lowered, each between blanks of its own (a text with words)."""
+    bare = F.btrim(F.regexp_replace(text, f"{OTHERS}+", "  "), F.lit(" "))
+    return F.translate(F.concat(F.lit(" "), bare, F.lit(" ")), UPPER, LOWER)
+
+
+def padded_count(line: Column) -> Column:
+    """Number of words in a part of a padded text."""
+    return F.floor((F.length(line) - F.length(F.replace(line, F.lit(" "), F.lit("")))) / 2).cast("bigint")
+
+
+def _branches(words: list[str]) -> str:
+    """Regex for one of the words that reads every shared beginning once."""
+    if words == [""]:
+        return ""
+    by_letter: dict[str, list[str]] = {}
+    for w in words:
+        by_letter.setdefault(w[:1], []).append(w[1:])
+    parts = [k + _branches(v) if k else "" for k, v in by_letter.items()]
+    return f"(?:{'|'.join(parts)})" if len(parts) > 1 else parts[0]
+
+
+def has_keyword(text: Column, words: set[str]) -> Column:
+    """Whether the text may hold one of the words, in any case."""
+    around = F.concat(F.lit(" "), F.lower(text), F.lit(" "))
+    return around.rlike(OTHERS + _branches(sorted(words)) + OTHERS)
 
 
 def places(line: Column, pattern: Column) -> Column:
     """Spans, in words, of the pattern's matches in a padded text, leftmost first."""
-    def count(x):
-        return F.floor((F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit("")))) / 2).cast("bigint")
     gaps, hits = F.split(line, pattern, -1), F.regexp_extract_all(line, pattern, F.lit(0))
     steps = F.zip_with(F.slice(gaps, F.lit(1), F.size(hits)), hits,
-                       lambda gap, hit: F.struct(count(gap).alias("gap"), count(hit).alias("hit")))
+                       lambda gap, hit: F.struct(padded_count(gap).alias("gap"), padded_count(hit).alias("hit")))
     start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(SPANS).alias("out"))
 
     def add(acc, x):
@@ -48,12 +72,12 @@ def _table(rules: tuple[Signature, ...]) -> Column:
     """The signatures as one constant array (fixed size: they are part of the program)."""
     return F.array(*[F.struct(
         F.lit(r.label).alias("label"), F.lit(r.priority).alias("priority"), F.lit(i).alias("number"),
-        F.lit(f" {r.keyword} ").alias("keyword"), F.lit(r.pattern).alias("pattern")) for i, r in enumerate(rules)])
+        F.lit(f" {r.keyword} ").alias("keyword"), F.lit(r.literal).alias("literal"), F.lit(r.pattern).alias("pattern")) for i, r in enumerate(rules)])
 
 
 def detections(line: Column, rules: tuple[Signature, ...]) -> Column:
     """Array of (start, order, priority, number, stop, label) before suppression, in the order of the sweep."""
-    chosen = F.filter(_table(rules), lambda r: F.contains(line, r["keyword"]))
+    chosen = F.filter(_table(rules), lambda r: F.contains(line, r["keyword"]) & F.contains(line, r["literal"]))
     found = F.transform(chosen, lambda r: F.transform(places(line, r["pattern"]), lambda s: F.struct(
         s["start"].alias("start"), (-s["stop"]).alias("order"), r["priority"].alias("priority"),
         r["number"].alias("number"), s["stop"].alias("stop"), r["label"].alias("label"))))
@@ -94,19 +118,23 @@ def scan_licenses(docs: DataFrame, rules: tuple[Signature, ...] | None = None, t
     rules = signatures() if rules is None else rules
     priorities = tuple(sorted({r.priority for r in rules}))
     keep = [c for c in docs.columns if c != text_column] if keep is None else keep
-    rows = docs.select(F.struct(*keep).alias("row"), words(F.col(text_column)).alias("words"))
-    rows = rows.select("row", F.size("words").cast("bigint").alias("n_words"), padded(F.col("words")).alias("line"))
-    gate = " (?:" + "|".join(sorted({r.keyword for r in rules} | {p.split()[0] for p in BASE})) + ") "
+    text = F.coalesce(F.col(text_column), F.lit(""))
+    gate = has_keyword(text, {r.keyword for r in rules} | {max(p.split(), key=len) for p in BASE})
+    rows = docs.select(F.struct(*keep).alias("row"), word_count(text).alias("n_words"),
+                       F.when(gate, padded(text)).alias("line"))
+    line = F.col("line")
+    none_base = F.array().cast("array<struct<label:string,start:bigint>>")
+    none = F.array().cast("array<struct<start:bigint,order:bigint,priority:int,number:int,stop:bigint,label:string>>")
+
     def labelled(phrase, label):
-        return F.transform(places(F.col("line"), F.lit(compiled(phrase))),
-                           lambda s: F.struct(F.lit(label).alias("label"), s["start"].alias("start")))
+        pattern = compiled(phrase)
+        found = F.transform(places(line, F.lit(pattern)), lambda s: F.struct(F.lit(label).alias("label"), s["start"].alias("start")))
+        return F.when(F.contains(line, F.lit(pattern)), found).otherwise(none_base)
 
     base = F.flatten(F.array(*[labelled(phrase, label) for phrase, label in BASE.items()]))
-    none_base = F.array().cast("array<struct<label:string,start:bigint>>")
-    none = F.array().cast("array<struct<start:bigint,order:bigint,priority:int,number:int,stop:bigint,label:string>>")
-    gated = F.col("line").rlike(gate)
     weight = F.create_map(*[x for p in priorities for x in (F.lit(p), F.lit(WEIGHTS[p]))])
-    out = rows.select("row", "n_words", F.when(gated, base).otherwise(none_base).alias("base"),
-                      F.when(gated, suppressed(detections(F.col("line"), rules), priorities)).otherwise(none).alias("kept"))
+    out = rows.select("row", "n_words", F.when(line.isNotNull(), F.struct(
+        base.alias("base"), suppressed(detections(line, rules), priorities).alias("kept"))).alias("found"))
+    out = out.select("row", "n_words", F.coalesce("found.base", none_base).alias("base"), F.coalesce("found.kept", none).alias("kept"))
     best = F.array_min(F.transform("kept", lambda d: d["priority"]))
     return out.withColumn("score", F.coalesce(weight[best], F.lit(0.0)))

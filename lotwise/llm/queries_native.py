@@ -74,7 +74,7 @@ def _licenses_sql() -> str:
 with rules(number, label, priority, keyword, pattern) as (values {rules}),
 base(label, pattern) as (values {base}),
 w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), '{licenses.UPPER}', '{licenses.LOWER}'),
-   {text_sql(licenses.WORD)}) words from documents),
+   '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') words from documents),
 d as (select doc_id, len(words) n_words, case when len(words) > 0 then ' ' || array_to_string(words, '  ') || ' '
    else '' end line from w),
 b as (select doc_id, label, span.a a from ({places('(select d.doc_id, d.line, base.* from d, base)', 'pattern')})),
