@@ -37,7 +37,7 @@ FROM base
 CATALOGUE_TEXT = """
 SELECT DISTINCT p_brand AS brand, p_type AS model,
   CASE WHEN p_type = 'PROMO' THEN NULL ELSE concat(upper(substring(p_name, 1, 1)), substring(p_name, 2)) END AS version
-FROM part WHERE p_size <= 25
+FROM part
 """
 
 LISTING_NAMES = {

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from checks import query
-from checks.fixture import CLEAN, catalogue, near, plain, raw, sql_near
+from checks.fixture import CLEAN, SPLIT, catalogue, near, plain, raw, sql_near, table
 from checks.fitted import parts
 from lotwise import fixed_values as fx
 from lotwise.operators import embed, encoders as enc, impute, stats
@@ -39,14 +39,14 @@ def rounded(df):
     return df.select(*[F.round(x, 4).alias(x) if t == "double" else c(x) for x, t in df.dtypes])
 
 
-def small_trees():
-    return tr.boosted_trees("baseline", trees=5, depth=3)
+def boosted_trees():
+    return tr.boosted_trees("baseline")
 
 
 @query("feature_pipeline_i23")
 def pipeline(spark, sf):
     listed = materialize(enc.hash_split(clean_listings(raw(spark, sf)), "idx"), "clean")
-    _, frames = fit_features(listed, feature_pipeline(catalogue(spark, sf), trees=20))
+    _, frames = fit_features(listed, feature_pipeline(catalogue(spark, sf)))
     out = None
     for name, frame in frames.items():
         part = frame.withColumn("split", F.lit(name))
@@ -57,7 +57,7 @@ def pipeline(spark, sf):
 @query("boosted_trees_j1_j12")
 def boosted(spark, sf):
     split = pieces(features(spark, sf))
-    return rounded(tr.evaluate(tr.PriceModel.fit(split["train"], small_trees(), "precio"), split))
+    return rounded(tr.evaluate(tr.PriceModel.fit(split["train"], boosted_trees(), "precio"), split))
 
 
 @query("linear_model_j2")
@@ -76,27 +76,30 @@ def log_target(spark, sf):
 @query("model_comparison_j3_j4")
 def comparison(spark, sf):
     split = pieces(features(spark, sf), ("train", "validation"))
-    return rounded(tr.compare_models(split, {"linear": tr.linear_model(), "forest": tr.random_forest(5, 5), "boosted": small_trees()}, "precio"))
+    return rounded(tr.compare_models(split, {"linear": tr.linear_model(), "forest": tr.random_forest(depth=12), "boosted": boosted_trees()}, "precio"))
+
+
+PENALTIES = {"regParam": [0.0, *[10.0 ** k for k in range(-4, 5)]], "elasticNetParam": [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]}
 
 
 @query("random_search_j5_j7")
 def search(spark, sf):
     train = features(spark, sf).where("split = 'train'").drop("split", "descripcion")
-    found = tr.random_search(train, tr.random_forest(3, 4), {"maxDepth": [3, 5], "numTrees": [3, 6]}, 3, "idx", "precio")
-    return rounded(spark.createDataFrame([(s["maxDepth"], s["numTrees"], float(r)) for s, r in found], "depth int, trees int, rmse double"))
+    found = tr.random_search(train, tr.linear_model(), PENALTIES, 50, "idx", "precio", parallelism=8)
+    return rounded(spark.createDataFrame([(s["regParam"], s["elasticNetParam"], float(r)) for s, r in found], "penalty double, mix double, rmse double"))
 
 
 @query("halving_search_j6")
 def halving(spark, sf):
     train = features(spark, sf).where("split = 'train'").drop("split", "descripcion")
-    found = tr.halving_search(train, tr.linear_model(), {"regParam": [0.0, 0.1, 1.0], "elasticNetParam": [0.0]}, 3, "idx", "precio")
+    found = tr.halving_search(train, tr.linear_model(), PENALTIES, 27, "idx", "precio", parallelism=8)
     return rounded(spark.createDataFrame([(r["share"], r["sets"], float(r["rmse"])) for r in found], "share double, sets int, rmse double"))
 
 
 @query("importance_j8")
 def importance(spark, sf):
     split = pieces(features(spark, sf), ("train",))
-    return rounded(tr.PriceModel.fit(split["train"], small_trees(), "precio").importance(spark, 10))
+    return rounded(tr.PriceModel.fit(split["train"], boosted_trees(), "precio").importance(spark, 10))
 
 
 @query("ablation_j10")
@@ -107,17 +110,30 @@ def ablation(spark, sf):
 
 @query("embedding_sweep_j11")
 def sweep(spark, sf):
-    df = features(spark, sf)
-    scores = embed.DescriptionScores(5, "descripcion").fit(df.where("split = 'train'"))
-    return rounded(tr.embedding_sweep(df, [0, 2, 5], scores, BASE, tr.linear_model(), "precio"))
+    docs = table(spark, sf, "documents").join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
+    df = materialize(enc.hash_split(docs.select("doc_id", "text", c("n_chars").cast("double").alias("n_chars"), c("quality").cast("double").alias("quality")), "doc_id"), "texts")
+    scores = embed.DescriptionScores(max(fx.EMBED_SWEEP), "text").fit(df.where("split = 'train'"))
+    return rounded(tr.embedding_sweep(df, fx.EMBED_SWEEP, scores, ["n_chars"], tr.linear_model(), "quality"))
 
 
-@query("saved_model_a7")
+@query("line_of_one_feature_j2", f"""{SPLIT}, t AS (SELECT CAST(precio AS DOUBLE) AS y, CAST(anio AS DOUBLE) AS x FROM parts WHERE split = 'train')
+  SELECT round(regr_slope(y, x), 4) AS slope, round(regr_intercept(y, x), 2) AS intercept FROM t""")
+def one_line(spark, sf):
+    train = parts(spark, sf).where("split = 'train'").select(c("anio").cast("double").alias("anio"), c("precio").cast("double").alias("precio"))
+    model = tr.PriceModel.fit(train, tr.linear_model(), "precio").model
+    return spark.createDataFrame([(float(model.coefficients[0]), float(model.intercept))], "slope double, intercept double").select(
+        F.round("slope", 4).alias("slope"), F.round("intercept", 2).alias("intercept"))
+
+
+@query("saved_model_a7", f"{SPLIT} SELECT split, count(*) AS n, true AS same FROM parts GROUP BY split")
 def saved(spark, sf):
     split = pieces(features(spark, sf))
     path = scratch_path(spark, "model")
-    tr.PriceModel.fit(split["train"], tr.linear_model(), "precio").save(path)
-    return rounded(tr.evaluate(tr.PriceModel.load(path), split))
+    model = tr.PriceModel.fit(split["train"], tr.linear_model(), "precio")
+    model.save(path)
+    again = tr.predictions(tr.PriceModel.load(path), split).groupBy("split").agg(F.count("*").alias("n"), F.sum("prediction").alias("b"))
+    once = tr.predictions(model, split).groupBy("split").agg(F.sum("prediction").alias("a"))
+    return once.join(again, "split").select("split", "n", (F.abs(c("a") - c("b")) <= 1e-9 * F.abs("a")).alias("same"))
 
 
 @query("worst_predictions_e7_c5")

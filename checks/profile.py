@@ -24,7 +24,7 @@ def drop_columns(spark, sf):
     return df.drop(*[x for x in df.columns if x not in ("idx", "marca", "precio")], "absent")
 
 
-@query("order_columns_b2", f"{L} SELECT * FROM listings ORDER BY marca, modelo")
+@query("order_columns_b2", f"{L} SELECT marca, modelo, precio, * EXCLUDE (marca, modelo, precio) FROM listings ORDER BY marca, modelo")
 def order_columns(spark, sf):
     return rel.sorted_by(rel.first_columns(listings(spark, sf), ["marca", "modelo", "absent", "precio"]), ["marca", "modelo"])
 
@@ -80,7 +80,7 @@ def clip(spark, sf):
                            0.001, 0.995, where=c("kilometros") > 1000)
 
 
-@query("numeric_columns_b13", f"{CLEAN} SELECT precio, motor, kilometros, camara, anio, turbo, cv, anticipo FROM clean")
+@query("numeric_columns_b13", f"{CLEAN} SELECT motor, kilometros, precio, camara, anio, turbo, cv, anticipo FROM clean")
 def numeric(spark, sf):
     df = cleaned(spark, sf)
     return df.select(*rel.numeric_columns(df))

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from checks import query
 from checks import fixture as fx
 from checks.fixture import CLEAN, L, listings, plain, raw, table
+from lotwise import fixed_values as fixed
 from lotwise.functions import price as pr, text as tx
 from lotwise.plans.clean import clean_listings, fill_zero
 
@@ -109,14 +110,30 @@ def fold_letters(spark, sf):
     return listings(spark, sf).select("idx", tx.fold_letters(c("color")).alias("color"))
 
 
-# The documents view has no double-encoded text: it is made by one wrong decode, so that repair must undo it.
-@query("repair_letters_h17", """SELECT doc_id,
-  regexp_replace(text, '[^\\x00-\\x5B\\x5D-\\x7FáéíóúñèìòùüçëÉ]', '?', 'g') AS text FROM documents
-WHERE NOT contains(text, 'É')""")
+# The text seen byte by byte, as an engine without encodings says it.
+_BYTES = """array_to_string(list_transform(string_split(text, ''), lambda x: CASE WHEN unicode(x) < 128 THEN x
+  WHEN unicode(x) < 2048 THEN chr(192 + unicode(x) // 64) || chr(128 + unicode(x) % 64)
+  WHEN unicode(x) < 65536 THEN chr(224 + unicode(x) // 4096) || chr(128 + unicode(x) // 64 % 64) || chr(128 + unicode(x) % 64)
+  ELSE chr(240 + unicode(x) // 262144) || chr(128 + unicode(x) // 4096 % 64) || chr(128 + unicode(x) // 64 % 64) || chr(128 + unicode(x) % 64) END), '')"""
+
+
+def _pairs_sql(text: str) -> str:
+    for wrong, right in fixed.DOUBLE_ENCODED.items():
+        text = f"replace({text}, '{wrong}', '{right}')"
+    return text
+
+
+# A backslash makes the text an escape sequence, which SQL cannot resolve: those texts stay out of the comparison.
+@query("repair_letters_h17", f"""SELECT doc_id, CASE WHEN contains(text, '\\') THEN 'escaped' ELSE {_pairs_sql(_BYTES)} END AS text,
+  CASE WHEN contains(text, '\\') THEN 'escaped' ELSE {_pairs_sql('text')} END AS paired FROM documents""")
 def repair_letters(spark, sf):
-    known = F.regexp_replace("text", "[^\\x00-\\x5B\\x5D-\\x7FáéíóúñèìòùüçëÉ]", "?")
-    docs = table(spark, sf, "documents").where(~F.contains(c("text"), F.lit("É")))
-    return docs.select("doc_id", tx.repair_letters(known).alias("text"))
+    docs = table(spark, sf, "documents")
+    escaped = F.contains(c("text"), F.lit("\\"))
+    # A lone quote keeps escapes from being read, so only the letter pairs are put back.
+    unread = F.concat(c("text"), F.lit('\\"'))
+    paired = tx.repair_letters(unread)
+    return docs.select("doc_id", F.when(escaped, "escaped").otherwise(tx.repair_letters(c("text"))).alias("text"),
+                       F.when(escaped, "escaped").otherwise(paired.substr(F.lit(1), F.length(paired) - 2)).alias("paired"))
 
 
 @query("first_integer_h18", f"{L} SELECT idx, coalesce(try_cast(nullif(regexp_extract(version, '(\\d+)', 1), '') AS BIGINT), 0) AS n FROM listings")

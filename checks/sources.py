@@ -31,7 +31,7 @@ def catalogue_scan(spark, sf):
 
 
 def record_rows(spark, sf):
-    """One nested record per part; parts of size 7 have no price, size 9 rows are broken text."""
+    """One nested record per part; parts of size 7 have no price."""
     part = table(spark, sf, "part")
     price = F.when(c("p_size") != 7, F.struct(F.lit("US$").alias("Moneda"), c("p_retailprice").alias("Importe")))
     record = F.struct(
@@ -41,19 +41,32 @@ def record_rows(spark, sf):
         F.concat((c("p_size") + 90).cast("string"), F.lit(" cv")).alias("Potencia"),
         F.when(c("p_size") % 4 == 0, "1.6").otherwise("2.0").alias("Cilindrada"), F.lit("Brasil").alias("Origen"),
         (2015 + c("p_size") % 10).cast("string").alias("VersionYear"), price.alias("Precio"))
-    text = F.when(c("p_size") == 9, F.lit('{"Marca": "x", ')).otherwise(F.to_json(record))
-    return part.select(text.alias("value"), (2015 + c("p_size") % 10).alias("year"))
+    return part.select("p_partkey", "p_size", (2015 + c("p_size") % 10).alias("year"), record.alias("record"))
+
+
+def record_files(spark, sf):
+    """One ``.json`` file per record below year folders; those of size 9 have a price that is no object."""
+    path = scratch_path(spark, "records")
+    rows = record_rows(spark, sf)
+    good = rows.where("p_size <> 9").select("record.*", "year")
+    broken = rows.where("p_size = 9").select(c("p_partkey").cast("string").alias("Version"), F.lit("ask").alias("Precio"), "year")
+    for part in (good, broken):
+        part.write.mode("append").partitionBy("year").option("maxRecordsPerFile", 1).json(path)
+    return path
 
 
 @query("car_records_a3_b6", """SELECT p_brand AS "Marca", p_type AS "Modelo", p_name || ' edición' AS "Version", CAST(2015 + p_size % 10 AS VARCHAR) AS "VersionYear", 'SUV' AS "Carroceria", 'C' AS "Segmento",
   CASE WHEN p_size % 3 = 0 THEN 'nafta' ELSE 'diesel' END AS "Propulsion", 'Manual' AS "Transmision", (p_size + 90) || ' cv' AS "Potencia", CASE WHEN p_size % 4 = 0 THEN '1.6' ELSE '2.0' END AS "Cilindrada",
   'Brasil' AS "Origen", '' AS "Garantia", CASE WHEN p_size <> 7 THEN 'US$' ELSE '' END AS "Moneda", CASE WHEN p_size <> 7 THEN p_retailprice END AS "Importe" FROM part WHERE p_size <> 9 AND p_size % 2 = 0""")
 def car_records(spark, sf):
-    path = scratch_path(spark, "records")
-    record_rows(spark, sf).write.partitionBy("year").option("compression", "none").text(path)
-    raw = (spark.read.option("recursiveFileLookup", True).text(path)
-           .select(F.from_json("value", cars.RECORD, {"columnNameOfCorruptRecord": "_corrupt_record"}).alias("r")).select("r.*"))
-    return cars.flatten_records(raw.where("_corrupt_record is null").drop("_corrupt_record"))
+    return cars.flatten_records(cars.read_records(spark, record_files(spark, sf)))
+
+
+@query("broken_records_a3", "SELECT CAST(p_partkey AS VARCHAR) AS version, CAST(2015 + p_size % 10 AS VARCHAR) AS year FROM part WHERE p_size = 9")
+def broken_records(spark, sf):
+    bad = cars.bad_records(spark, record_files(spark, sf))
+    return bad.select(F.get_json_object("_corrupt_record", "$.Version").alias("version"),
+                      F.regexp_extract("file", "year=([0-9]+)", 1).alias("year"))
 
 
 @query("request_lines_a5", f"""{L} SELECT 'request-' || (row_id) AS custom_id, descripcion AS user_text, 2 AS messages, 500 AS max_tokens

@@ -140,4 +140,5 @@ def to_frequent_value(df: DataFrame, column: str, vectors: DataFrame, out: str,
     target = (F.when(same, F.col("value")).when(F.col("vector").isNull() | (F.col("size") == 0), first)
               .otherwise(F.coalesce(F.array_min(scored)["value"], first)))
     table, n = materialize_counted(rows.select(F.col("value").alias(column), target.alias("_target")), "targets")
-    return join_lookup(df, table, [column], n).withColumn(out, F.col("_target")).drop("_target")
+    order = df.columns if out in df.columns else [*df.columns, out]
+    return join_lookup(df, table, [column], n).withColumn(out, F.col("_target")).select(*[F.col(f"`{c}`") for c in order])

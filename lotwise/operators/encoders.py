@@ -1,5 +1,6 @@
 """Fitted encoders and scalers, and the plain steps between them."""
 
+from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import DataFrame, functions as F
 
 from lotwise import fixed_values as fx
@@ -7,8 +8,7 @@ from lotwise.functions.price import in_local_currency
 from lotwise.operators.fitted import FitStep, FittedModel, PlainStep
 from lotwise.operators.quantiles import order_statistic
 from lotwise.operators.relational import first_columns, numeric_columns, sorted_by, stable_hash
-
-MAX_CATEGORIES = 2_000
+from lotwise.session import join_lookup, materialize
 
 
 def _present(df: DataFrame, columns: list[str]) -> list[str]:
@@ -41,6 +41,8 @@ class TargetMean(FitStep):
         columns = _present(df, s["columns"])
         target = F.col(f"`{s['target']}`").cast("double").alias("_y")
         overall = df.agg(F.avg(target).alias("m")).first()["m"]
+        if overall is None:
+            raise ValueError(f"target column {s['target']!r} has no values to learn from")
         stats = (_by_value(df, columns, target).groupBy("column", "value")
                  .agg(F.avg("_y").alias("mean"), F.count("_y").alias("n")))
         m = s["smoothing"]
@@ -89,32 +91,60 @@ class StandardizeModel(FittedModel):
 
 
 # ------------------------------------------------------------------ categories
+def numbered(values: DataFrame, columns: list[str]) -> DataFrame:
+    """(column, value, place): the distinct values of each column in order, from 0.
+
+    The values are sorted in ranges and numbered within each range; only the
+    number of rows per range and the first place per column are gathered, so
+    there is no limit to the values.
+    """
+    entries = _by_value(values, columns).distinct()
+    ranged = entries.repartitionByRange("column", "value").sortWithinPartitions("column", "value")
+    marked = materialize(ranged.withColumn("_m", F.monotonically_increasing_id()), "numbered")
+    part, inside = F.shiftright("_m", 33), F.col("_m").bitwiseAND(F.lit((1 << 33) - 1))
+    sizes = marked.groupBy(part.alias("part")).agg(F.count("*").alias("n")).collect()       # one row per range
+    starts, total = {}, 0
+    for row in sorted(sizes, key=lambda r: r["part"]):
+        starts[row["part"]] = total
+        total += row["n"]
+    if not starts:
+        return entries.withColumn("place", F.lit(0).cast("bigint"))
+    start = F.create_map(*[x for k, v in starts.items() for x in (F.lit(k).cast("bigint"), F.lit(v).cast("bigint"))])
+    placed = marked.select("column", "value", (start[part] + inside).alias("at"))
+    firsts = {r["column"]: r["at"] for r in placed.groupBy("column").agg(F.min("at").alias("at")).collect()}
+    first = F.create_map(*[x for k, v in firsts.items() for x in (F.lit(k), F.lit(v).cast("bigint"))])
+    return placed.select("column", "value", (F.col("at") - first[F.col("column")]).alias("place"))
+
+
 def categories(df: DataFrame, columns: list[str]) -> dict[str, list[str]]:
-    """Sorted values per column.  They become columns, so their number is checked, not cut."""
+    """Sorted values per column, for forms in which every value becomes a column of its own."""
     found: dict[str, list[str]] = {c: [] for c in columns}
-    rows = _by_value(df, columns).distinct().limit(MAX_CATEGORIES * len(columns) + 1).collect()
-    for row in rows:
-        found[row["column"]].append(row["value"])
-    for c, values in found.items():
-        if len(values) > MAX_CATEGORIES:
-            raise ValueError(f"column {c!r} has more than {MAX_CATEGORIES} categories")
-        values.sort()
-    return found
+    if columns:
+        for row in _by_value(df, columns).distinct().toLocalIterator():
+            found[row["column"]].append(row["value"])
+    return {c: sorted(values) for c, values in found.items()}
 
 
 class OneHot(FitStep):
     """One 0/1 column per category seen in fit, and ``<column>_Unknown`` for unseen values.
 
     ``unknown=False`` is the dummy form: unseen values are all zero, and the
-    columns of any later table are those of the fit.
+    columns of any later table are those of the fit.  ``sparse=True`` is the
+    form for any number of categories: one sparse vector ``<column>_vector``
+    per column, whose last place stands for unseen values; null is all zero.
     """
 
-    def __init__(self, columns=fx.ONE_HOT_COLUMNS, unknown: bool = True):
-        super().__init__(columns=list(columns), unknown=unknown)
+    def __init__(self, columns=fx.ONE_HOT_COLUMNS, unknown: bool = True, sparse: bool = False):
+        super().__init__(columns=list(columns), unknown=unknown, sparse=sparse)
 
     def _fit(self, df):
-        found = categories(df, _present(df, self.settings["columns"]))
-        return OneHotModel({"categories": found, "unknown": self.settings["unknown"]})
+        s = self.settings
+        columns = _present(df, s["columns"])
+        if s.get("sparse"):
+            code = OrdinalCode(columns).fit(df)
+            sizes = {r["column"]: r["n"] for r in code.tables["places"].groupBy("column").agg(F.count("*").alias("n")).collect()}
+            return SparseOneHotModel({"columns": columns, "sizes": [sizes.get(c, 0) for c in columns]}, code.tables)
+        return OneHotModel({"categories": categories(df, columns), "unknown": s["unknown"]})
 
 
 class OneHotModel(FittedModel):
@@ -139,18 +169,39 @@ class OrdinalCode(FitStep):
         super().__init__(columns=list(columns))
 
     def _fit(self, df):
-        return OrdinalCodeModel({"categories": categories(df, _present(df, self.settings["columns"]))})
+        columns = _present(df, self.settings["columns"])
+        return OrdinalCodeModel({"columns": columns}, {"places": numbered(df, columns)} if columns else {})
 
 
 class OrdinalCodeModel(FittedModel):
     def apply(self, df):
-        coded = {}
-        for c, values in self.settings["categories"].items():
-            if c in df.columns:
-                value = F.col(f"`{c}`").cast("string")
-                place = F.array_position(F.array(*[F.lit(v) for v in values]), value)
-                coded[c] = F.when(value.isNotNull(), (place - 1).cast("double"))
-        return df.withColumns(coded)
+        for c in self.settings["columns"]:
+            if c not in df.columns:
+                continue
+            order = df.columns
+            table = self.tables["places"].where(F.col("column") == c).select(F.col("value").alias(c), F.col("place").alias("_place"))
+            joined = join_lookup(df.withColumn(c, F.col(f"`{c}`").cast("string")), table, [c], self.rows["places"])
+            code = F.when(F.col(f"`{c}`").isNotNull(), F.coalesce("_place", F.lit(-1)).cast("double"))
+            df = joined.withColumn(c, code).select(*[F.col(f"`{x}`") for x in order])
+        return df
+
+
+class SparseOneHotModel(FittedModel):
+    def apply(self, df):
+        s = self.settings
+        for c, size in zip(s["columns"], s["sizes"]):
+            if c not in df.columns:
+                continue
+            coder = OrdinalCodeModel.__new__(OrdinalCodeModel)
+            coder._base_init()
+            coder.settings, coder.tables, coder.rows = {"columns": [c]}, self.tables, self.rows
+            coded = coder.apply(df)
+            place = F.when(F.col(f"`{c}`") < 0, float(size)).when(F.col(f"`{c}`").isNull(), float(size + 1)).otherwise(F.col(f"`{c}`"))
+            # The encoder only needs the number of places; the last one, for null, is dropped.
+            encoder = OneHotEncoder(inputCols=["_place"], outputCols=[f"{c}_vector"], dropLast=True).fit(
+                df.sparkSession.range(size + 1, size + 2).select(F.col("id").cast("double").alias("_place")))
+            df = encoder.transform(coded.withColumn("_place", place)).drop("_place", c)
+        return df
 
 
 # ------------------------------------------------------------------ plain steps
@@ -209,14 +260,24 @@ def hash_split(df: DataFrame, key: str, share: int = 20, seed: str = "42") -> Da
 def exact_split(df: DataFrame, key: str, share: float = 0.2, seed: str = "42") -> DataFrame:
     """Adds ``is_test`` to exactly ceil(share * rows) rows: the least hashes of the row keys.
 
-    The cut is found by rank selection on the hash, not by sorting the rows.
+    The cut is found by rank selection on the hash, not by sorting the rows.  A
+    null key counts as empty text.  Rows that share the cut's key are numbered,
+    and as many of them are taken as the count lacks.
     """
     import math
-    h = F.conv(F.substring(F.md5(F.concat(F.col(key).cast("string"), F.lit("|" + seed))), 1, 15), 16, 10).cast("bigint")
+    text = F.coalesce(F.col(f"`{key}`").cast("string"), F.lit(""))
+    h = F.conv(F.substring(F.md5(F.concat(text, F.lit("|" + seed))), 1, 15), 16, 10).cast("bigint")
     hashed = df.withColumn("_h", h)
     rows = df.count()
     wanted = math.ceil(share * rows)
     if wanted == 0:
         return df.withColumn("is_test", F.lit(False))
     cut = order_statistic(hashed, "_h", wanted - 1, rows)
-    return hashed.withColumn("is_test", F.col("_h") <= F.lit(cut)).drop("_h")
+    counts = hashed.agg(F.count_if(F.col("_h") < cut).alias("less"), F.count_if(F.col("_h") == cut).alias("same")).first()
+    below = hashed.withColumn("is_test", F.col("_h") <= F.lit(cut))
+    if counts["less"] + counts["same"] == wanted:
+        return below.drop("_h")
+    tied = hashed.where(F.col("_h") == cut).orderBy(F.col(f"`{key}`"), F.monotonically_increasing_id())
+    first = tied.limit(wanted - counts["less"]).withColumn("is_test", F.lit(True))
+    rest = tied.offset(wanted - counts["less"]).withColumn("is_test", F.lit(False))
+    return below.where(F.col("_h") != cut).unionByName(first).unionByName(rest).drop("_h")

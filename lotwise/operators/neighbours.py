@@ -34,37 +34,42 @@ class KnnImputer(FitStep):
     def _fit(self, df):
         columns = self.settings["columns"]
         means = df.agg(*[F.avg(f"`{c}`").alias(f"m{i}") for i, c in enumerate(columns)]).first()
-        donors = _vectors(df, columns).groupBy("x", "mask").agg(F.count("*").alias("w")).where("mask > 0")
+        donors = _vectors(df, columns).groupBy("x", "mask").agg(F.count("*").alias("w")).where(F.contains("mask", F.lit("1")))
         return KnnImputerModel(self.settings | {"means": list(means)}, {"donors": donors})
 
 
 def _vectors(df: DataFrame, columns: list[str]) -> DataFrame:
     values = [F.col(f"`{c}`").cast("double") for c in columns]
-    mask = sum((F.when(v.isNotNull(), 1 << i).otherwise(0) for i, v in enumerate(values)), F.lit(0))
-    return df.select(F.array(*values).alias("x"), mask.cast("int").alias("mask"))
+    mask = F.concat(*[F.when(v.isNotNull(), "1").otherwise("0") for v in values])
+    return df.select(F.array(*values).alias("x"), mask.alias("mask"))
 
 
 def _shared(vector: str, space: str):
     """The vector with every column outside the space blanked."""
-    return F.transform(vector, lambda v, i: F.when(F.getbit(F.col(space), i) == 1, v))
+    return F.transform(vector, lambda v, i: F.when(F.substring(F.col(space), i + 1, F.lit(1)) == "1", v))
 
 
-def _bits(mask: int) -> list[int]:
-    return [i for i in range(int(mask).bit_length()) if int(mask) >> i & 1]
+def _bits(mask: str) -> list[int]:
+    return [i for i, flag in enumerate(mask) if flag == "1"]
+
+
+def _both(a: str, b: str) -> str:
+    """Flags of the columns that two patterns share; one flag per column, for any number of columns."""
+    return "".join("1" if x == y == "1" else "0" for x, y in zip(a, b))
 
 
 class KnnImputerModel(FittedModel):
     def apply(self, df):
         s = self.settings
-        columns, k, full = s["columns"], s["k"], (1 << len(s["columns"])) - 1
-        asked, rows = materialize_counted(_vectors(df, columns).where(F.col("mask") < full).distinct(), "receivers")
+        columns, k = s["columns"], s["k"]
+        asked, rows = materialize_counted(_vectors(df, columns).where(F.contains("mask", F.lit("0"))).distinct(), "receivers")
         if rows == 0:
             return df
         donors = self.tables["donors"]
         receiver_masks = sorted(r[0] for r in asked.select("mask").distinct().collect())
         donor_masks = sorted(r[0] for r in donors.select("mask").distinct().collect())
         # donor patterns a receiver pattern can use: a shared column and one the receiver lacks
-        uses = {rm: [dm for dm in donor_masks if rm & dm and dm & ~rm] for rm in receiver_masks}
+        uses = {rm: [dm for dm in donor_masks if "1" in _both(rm, dm) and _both(rm, dm) != dm] for rm in receiver_masks}
         filled = self._fill(asked, donors, uses, k, len(columns))
 
         values = [F.coalesce(F.element_at("x", i + 1), F.element_at("f", i + 1), F.lit(s["means"][i]))
@@ -83,13 +88,13 @@ class KnnImputerModel(FittedModel):
 
     def _fill(self, asked, donors, uses, k, width):
         """(x, f): the values found for each receiver vector, null where no donor has any."""
-        spaces: dict[int, set[int]] = {}
+        spaces: dict[str, set[str]] = {}
         for rm, masks in uses.items():
             for dm in masks:
-                spaces.setdefault(dm, set()).add(rm & dm)
+                spaces.setdefault(dm, set()).add(_both(rm, dm))
         if not spaces:
             return asked.select("x", F.lit(None).cast("array<double>").alias("f"))
-        space_of = F.lit(None).cast("array<int>")
+        space_of = F.lit(None).cast("array<string>")
         for dm, found in spaces.items():
             space_of = F.when(F.col("mask") == dm, F.array(*[F.lit(v) for v in sorted(found)])).otherwise(space_of)
         spread = donors.select("x", F.col("mask").alias("dm"), "w", F.explode(space_of).alias("space"))
@@ -116,7 +121,7 @@ class KnnImputerModel(FittedModel):
                 yield batch
 
         placed = materialize(spread.mapInPandas(
-            place, "x array<double>, dm int, w bigint, space int, cell bigint, reach double"), "placed")
+            place, "x array<double>, dm string, w bigint, space string, cell bigint, reach double"), "placed")
         # per cell: radius, weight and the reach of its first k donors (all bounded by pivots and patterns)
         cell = ["dm", "space", "cell"]
         sizes = placed.groupBy(*cell).agg(F.max("reach").alias("radius"), F.sum("w").alias("weight"))
@@ -141,14 +146,15 @@ class KnnImputerModel(FittedModel):
                 if out:
                     yield pd.concat(out, ignore_index=True)
 
-        use_of = F.array().cast("array<int>")
+        use_of = F.array().cast("array<struct<dm:string,space:string>>")
         for rm, masks in uses.items():
-            use_of = F.when(F.col("mask") == rm, F.array(*[F.lit(v) for v in masks]).cast("array<int>")).otherwise(use_of)
-        wanted = (asked.withColumn("dm", F.explode(use_of)).withColumn("space", F.col("mask").bitwiseAND(F.col("dm")))
+            pairs = F.array(*[F.struct(F.lit(v).alias("dm"), F.lit(_both(rm, v)).alias("space")) for v in masks])
+            use_of = F.when(F.col("mask") == rm, pairs.cast("array<struct<dm:string,space:string>>")).otherwise(use_of)
+        wanted = (asked.withColumn("use", F.explode(use_of)).select("x", "use.*")
                   .select("x", "dm", "space", _shared("x", "space").alias("p")))
         # receivers alike on the shared columns search once
         searched = wanted.select(F.col("p").alias("x"), "dm", "space").distinct()
-        visits = searched.mapInPandas(visit, "x array<double>, dm int, space int, cell bigint, ring int, gap double, bound double")
+        visits = searched.mapInPandas(visit, "x array<double>, dm string, space string, cell bigint, ring int, gap double, bound double")
         radius = sizes.select(*cell, "radius")
         ringed = join_lookup(placed, radius, cell, len(rows)).withColumn("ring", F.when(F.col("radius") > 0, F.least(
             F.floor(F.col("reach") / F.col("radius") * RINGS), F.lit(RINGS - 1))).otherwise(0).cast("int")).drop("radius")
@@ -156,7 +162,7 @@ class KnnImputerModel(FittedModel):
         met = met.where(F.abs(F.col("reach") - F.col("gap")) <= F.col("bound"))
         shared = F.aggregate(F.zip_with("x", "y", lambda a, b: F.coalesce((a - b) * (a - b), F.lit(0.0))),
                              F.lit(0.0), lambda acc, v: acc + v)
-        met = met.withColumn("d2", shared * F.lit(float(width)) / F.bit_count("space"))
+        met = met.withColumn("d2", shared * F.lit(float(width)) / F.length(F.replace("space", F.lit("0"), F.lit(""))))
         near = top_per_group(met, ["x", "dm", "space"], [F.col("d2"), F.col("y")], k)
         near = near.select(F.col("x").alias("p"), "dm", "space", "y", "w", "d2").join(wanted, ["p", "dm", "space"])
 
@@ -172,12 +178,12 @@ class KnnImputerModel(FittedModel):
         return means.groupBy("x").agg(F.array(*picks).alias("f"))
 
 
-def _gaps(vectors: pd.Series, space: int, pivots: np.ndarray) -> np.ndarray:
-    values = np.array([[v[b] for b in _bits(space)] for v in vectors], dtype=float)
+def _gaps(vectors: pd.Series, space: str, pivots: np.ndarray) -> np.ndarray:
+    values = np.stack(vectors.to_numpy())[:, _bits(space)].astype(float)
     return np.sqrt(((values[:, None, :] - pivots[None, :, :]) ** 2).sum(axis=2))
 
 
-def _visits(part: pd.DataFrame, space: int, pivots: np.ndarray, stats: dict, k: int) -> pd.DataFrame:
+def _visits(part: pd.DataFrame, space: str, pivots: np.ndarray, stats: dict, k: int) -> pd.DataFrame:
     """Cells and rings that can hold one of the k nearest donors of each receiver."""
     cells = np.array(sorted(stats))
     radius, weight, kth = (np.array([stats[c][i] for c in cells], dtype=float) for i in range(3))

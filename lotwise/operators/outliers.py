@@ -4,7 +4,8 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.ml.feature import Bucketizer
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import DoubleType
 
 from lotwise import fixed_values as fx
@@ -99,27 +100,29 @@ class IsolationForest(FitStep):
 
         trees = picked.groupBy("tree").applyInPandas(grow, NODE)
         model = IsolationForestModel(s | {"sample": sample, "cut": None}, {"trees": trees})
-        scored = rows.select(model.score_udf()("x").alias("score"))
-        model.settings["cut"] = exact_percentiles(scored, ["score"], [s["contamination"]])["score"][0]
+        if len(s["columns"]) == 1:
+            model.settings["cut"] = model.cut_of_one_column(rows.select(F.element_at("x", 1).alias("x")), s["contamination"])
+        else:
+            scored = rows.select(model.score_udf()("x").alias("score"))
+            model.settings["cut"] = exact_percentiles(scored, ["score"], [s["contamination"]])["score"][0]
         return model
 
 
 def _sample(rows: DataFrame, n: int, trees: int, sample: int) -> DataFrame:
-    """(tree, x): ``sample`` rows for each tree.
+    """(tree, x): ``sample`` rows for each tree, those of least hash of row and tree.
 
-    Large tables: a thin slice of the hash range holds slightly more rows than
-    needed; only that slice is ordered and dealt out.  Small tables, at most
-    the size of that slice, give each tree its own hash order.
+    Each tree looks only at rows whose hash lies under a bound that a few more
+    than ``sample`` rows are expected to meet, so about that many rows per tree
+    are ordered, whatever the table's size.  Rows with the same key and values
+    share their hash.
     """
-    wanted = trees * sample
-    if n > 2 * wanted:
-        share = 1.2 * wanted / n + 1e-6
-        place = (F.col("h").cast("double") + 2.0 ** 63) / 2.0 ** 64
-        slice_ = rows.where(place < share).orderBy("h", "x").limit(wanted)
-        turn = F.row_number().over(Window.orderBy("h", "x"))          # at most ``wanted`` rows
-        return slice_.withColumn("tree", (turn % trees).cast("int")).select("tree", "x")
-    each = rows.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    return top_per_group(each, ["tree"], [F.xxhash64("h", "tree"), F.col("x")], sample).select("tree", "x")
+    expected = sample + 6 * math.sqrt(sample) + 20
+    bound = int(min(expected / n, 1.0) * (2 ** 63 - 1))
+    drawn = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)),
+                     lambda t: F.xxhash64("h", "x", t).bitwiseAND(F.lit(2 ** 63 - 1)) <= F.lit(bound))
+    each = rows.select("h", "x", F.explode(drawn).alias("tree"))
+    order = [F.xxhash64("h", "x", "tree").bitwiseAND(F.lit(2 ** 63 - 1)), F.col("x")]
+    return top_per_group(each, ["tree"], order, sample).select("tree", "x")
 
 
 class IsolationForestModel(FittedModel):
@@ -137,6 +140,27 @@ class IsolationForestModel(FittedModel):
             return pd.Series(forest.score(np.stack(x.to_numpy())))
         return score
 
+    def cut_of_one_column(self, rows: DataFrame, share: float) -> float:
+        """Percentile of the scores of ``rows`` (x), from counts of rows between thresholds.
+
+        The score is constant between thresholds, and there are at most
+        trees * sample of them, so the counts fit on the driver.
+        """
+        forest = self.forest()
+        ends = np.unique(np.concatenate([t[1][t[0] >= 0] for t in forest.trees] or [np.zeros(0)]))
+        scores = forest.score(np.append(ends, np.inf).reshape(-1, 1))
+        # Intervals are open below and closed above: x <= end is x < the number after it.
+        splits = [-math.inf, *np.nextafter(ends, np.inf).tolist(), math.inf]
+        placed = Bucketizer(splits=splits, inputCol="x", outputCol="interval").transform(rows) if len(ends) else rows.withColumn("interval", F.lit(0.0))
+        counts = np.zeros(len(scores), dtype=np.int64)
+        for row in placed.groupBy("interval").count().collect():
+            counts[int(row["interval"])] = row["count"]
+        order = np.argsort(scores, kind="stable")
+        upto = np.cumsum(counts[order])
+        spot = share * (int(upto[-1]) - 1)
+        low, high = (float(scores[order[np.searchsorted(upto, r, side="right")]]) for r in (math.floor(spot), math.ceil(spot)))
+        return low + (high - low) * (spot - math.floor(spot))
+
     def outlier_ranges(self) -> list[tuple[float | None, float | None]]:
         """One column: the score is constant between thresholds, so the outliers are a few ranges (low, high]."""
         forest = self.forest()

@@ -78,7 +78,9 @@ def map_values(df: DataFrame, table: DataFrame, column: str, default=None,
     lookup = table.select(F.col("value").alias(column), F.col("mapped").alias("_mapped"))
     joined = join_lookup(df, lookup, [column], rows)
     value = F.col("_mapped") if default is None else F.coalesce("_mapped", F.lit(default))
-    return joined.withColumn(out or column, value).drop("_mapped")
+    out = out or column
+    order = df.columns if out in df.columns else [*df.columns, out]
+    return joined.withColumn(out, value).select(*[F.col(f"`{c}`") for c in order])
 
 
 # ------------------------------------------------------------------ order
@@ -111,4 +113,5 @@ def frequency_order(df: DataFrame, column: str) -> DataFrame:
     """
     from lotwise.operators.stats import value_counts
     table = value_counts(df, column).withColumnRenamed("n", "n_same")
-    return join_lookup(df, table, [column], how="inner").orderBy(F.desc("n_same"), column)
+    joined = join_lookup(df, table, [column], how="inner").select(*[F.col(f"`{c}`") for c in [*df.columns, "n_same"]])
+    return joined.orderBy(F.desc("n_same"), column)

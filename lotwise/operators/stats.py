@@ -2,7 +2,7 @@
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lotwise.operators.quantiles import exact_percentiles
+from lotwise.operators.quantiles import exact_percentiles, grouped_median
 from lotwise.operators.relational import best_row, numeric_columns, top_per_group
 
 
@@ -158,14 +158,8 @@ def regression_metrics(df: DataFrame, target: str, prediction: str = "prediction
         (1 - F.sum(e * e) / (F.count("*") * F.var_pop(y))).alias("r2"),
         F.avg(F.abs(e)).alias("mae"), (1 - F.var_pop(e) / F.var_pop(y)).alias("evs"),
         F.max(F.abs(e)).alias("max_err"))
-    names = [r[0] for r in rows.select(split).distinct().limit(101).collect()]
-    if len(names) > 100:
-        raise ValueError("the split column has more than 100 values")
-    medae = F.lit(None).cast("double")
-    for name in names:
-        part = exact_percentiles(rows.where(F.col(split) == name), ["abs_error"], [0.5])["abs_error"][0]
-        medae = F.when(F.col(split) == name, F.lit(part)).otherwise(medae)
-    return base.withColumn("medae", medae)
+    medians = grouped_median(rows, split, "abs_error").withColumnRenamed("median", "medae")
+    return base.join(medians, split, "left")
 
 
 def error_by_group(df: DataFrame, group: str, k: int = 10) -> DataFrame:

@@ -9,6 +9,7 @@ from pathlib import Path
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 SALTS = 32
 
 _local_roots: dict[str, str] = {}
@@ -66,28 +67,25 @@ def materialize_counted(df: DataFrame, name: str = "table") -> tuple[DataFrame,
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give row work that is heavy on the processor at least one task per core.
-
-    Only an input of few partitions, such as one small file, is redistributed.
-    """
-    wanted = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df
+    """Give row work that is heavy on the processor at least one task per core."""
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, df.rdd.getNumPartitions()))
 
 
 def join_lookup(df: DataFrame, table: DataFrame, keys: list[str], rows: int | None = None,
                 how: str = "left", broadcast_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Join a table that is unique on ``keys``.
 
-    A table whose counted rows stay under ``broadcast_rows`` is broadcast and
+    A table whose counted rows and bytes stay under the limits is broadcast and
     ``df`` is not shuffled at all.  A larger one is joined by shuffle with
     salted keys, so that one key holding much of ``df`` is spread over
-    ``SALTS`` tasks.
+    ``SALTS`` tasks.  The salt is a row's place, not its content, so equal rows
+    of a hot key are spread as well.
     """
-    if rows is None:
-        rows = table.count()
-    if rows <= broadcast_rows:
-        return df.join(F.broadcast(table), keys, how)
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.lit(SALTS))
+    if rows is None or rows <= broadcast_rows:
+        size = table.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length(F.to_json(F.struct("*")))), F.lit(0)).alias("b")).first()
+        if size["n"] <= broadcast_rows and size["b"] <= BROADCAST_BYTES:
+            return df.join(F.broadcast(table), keys, how)
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))
     salts = F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(SALTS)]))
     return (df.withColumn("_salt", salt)
             .join(table.withColumn("_salt", salts), keys + ["_salt"], how)

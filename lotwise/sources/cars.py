@@ -26,9 +26,11 @@ def read_records(spark: SparkSession, path: str, one_per_file: bool = True) -> D
 
 
 def bad_records(spark: SparkSession, path: str, one_per_file: bool = True) -> DataFrame:
-    raw = (spark.read.schema(RECORD).option("multiLine", one_per_file).option("recursiveFileLookup", True)
-           .option("pathGlobFilter", "*.json").json(path))
-    return raw.where("_corrupt_record is not null").select(F.input_file_name().alias("file"), "_corrupt_record")
+    """(file, _corrupt_record) of the files, or lines, that are no record."""
+    texts = (spark.read.option("wholetext", one_per_file).option("recursiveFileLookup", True)
+             .option("pathGlobFilter", "*.json").text(path).withColumn("file", F.input_file_name()))
+    parsed = F.from_json("value", RECORD, {"columnNameOfCorruptRecord": "_corrupt_record"})
+    return texts.where(parsed["_corrupt_record"].isNotNull()).select("file", F.col("value").alias("_corrupt_record"))
 
 
 def flatten_records(records: DataFrame, body: str = "SUV") -> DataFrame:

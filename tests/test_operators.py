@@ -184,7 +184,7 @@ def test_percentiles_narrow_to_the_exact_value(spark):
     values = [float(r.choice([0, 5, r.randint(0, 100000)])) for _ in range(20000)]
     df = spark.createDataFrame([(v,) for v in values], "v double")
     for share in (0.001, 0.1, 0.25, 0.5, 0.9, 0.995, 1.0):
-        got = quantiles.exact_percentiles(df, ["v"], [share], exact_rows=50)["v"][0]
+        got = quantiles.exact_percentiles(df, ["v"], [share], handful=5, accuracy=50)["v"][0]
         assert got == pytest.approx(np.percentile(values, share * 100), abs=1e-9)
 
 
