@@ -6,6 +6,9 @@ over carry less than t of a vector's length, a pair whose first common gram
 lies there cannot reach t.  Both sides are therefore joined on leading grams
 only, a pair is kept at its first common gram (so it appears once and needs
 no de-duplication), and its exact cosine is computed there.
+
+A search for the best match alone compares blocks of texts by products of count
+matrices instead, since at low thresholds nearly all pairs share a leading gram.
 """
 
 import numpy as np
@@ -14,10 +17,11 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DoubleType
 
 from lotwise.functions.text import ascii_words
+from lotwise.operators.blocks import map_groups
 from lotwise.operators.relational import best_row
-from lotwise.session import materialize, materialize_counted
+from lotwise.session import join_lookup, materialize, materialize_counted
 
-EXACT_FIRST = 0.6          # first round of a best-match search; the others go on to the full threshold
+BLOCK = 512                # texts of one block of a best-match search
 SLACK = 1e-9
 
 
@@ -107,34 +111,71 @@ def similar_pairs(left: DataFrame, right: DataFrame, keys: list[str], threshold:
             .where(F.col("score") >= threshold))
 
 
+def _dense(codes: pa.ListArray, tfs: pa.ListArray) -> np.ndarray:
+    """Count vectors over the codes that occur, one row per entry."""
+    rows = np.repeat(np.arange(len(codes)), np.diff(codes.offsets.to_numpy()))
+    _, place = np.unique(codes.flatten().to_numpy(), return_inverse=True)
+    out = np.zeros((len(codes), int(place.max(initial=-1)) + 1), dtype=np.float32)
+    out[rows, place] = tfs.flatten().to_numpy()
+    return out
+
+
 def best_matches(left: DataFrame, right: DataFrame, keys: list[str], threshold: float,
                  order: list[str] | None = None, name: str = "name") -> DataFrame:
     """For each left text the right row of highest cosine, if it reaches ``threshold``.
 
     ``right`` also holds ``name`` and the tie-break columns ``order`` (rising);
-    equal scores go to the least of those, then to the least name.  Texts that
-    match well are settled in a first round with few leading grams; only the
-    others are searched down to the threshold.
+    equal scores go to the least of those, then to the least name.  Both sides
+    are cut into blocks of ``BLOCK`` texts per key; a task compares a left block
+    with a right one by one product of count matrices and gives the best right
+    row of each left text.  So rows grow with texts times blocks, never with
+    pairs, and a key that holds much of a side is spread over its blocks.
     """
     order = order or []
-    rounds = [EXACT_FIRST, threshold] if threshold < EXACT_FIRST else [threshold]
     # one row per right text: the one that wins its ties
     names = best_row(right, keys + ["text"], [F.col(o) for o in order] + [F.col(name)], order + [name])
-    vectors = right.select(*keys, "text", "codes", "tfs", "nsq").dropDuplicates(keys + ["text"])
-    rest, found = left, None
-    for place, t in enumerate(rounds):
-        pairs = similar_pairs(rest, vectors, keys, t)
-        named = pairs.join(names.withColumnRenamed("text", "b"), keys + ["b"])
-        best = best_row(named, keys + ["a"], [-F.col("score")] + [F.col(o) for o in order] + [F.col(name)],
-                        [name, "score"])
-        best = materialize(best, "matches")
-        found = best if found is None else found.unionByName(best)
-        if place < len(rounds) - 1:
-            rest, rows = materialize_counted(
-                left.join(best.select(*keys, F.col("a").alias("text")), keys + ["text"], "left_anti"), "rest")
-            if rows == 0:
-                break
-    return found.withColumnRenamed("a", "text")
+    vectors = right.select(*keys, "text", "codes", "tfs", "nsq").dropDuplicates(keys + ["text"]).join(names, keys + ["text"])
+
+    def blocks(df, column):
+        return df.groupBy(*keys).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(column))
+
+    sizes, n = materialize_counted(blocks(left, "_nl").join(blocks(vectors, "_nr"), keys), "blocks")
+
+    def side(df, number, own, other, own_size, other_size):
+        cut = join_lookup(df, sizes, keys, n, "inner").withColumn(own, F.pmod(F.xxhash64("text"), F.col(own_size)).cast("int"))
+        cut = cut.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_size) - 1)))
+        extra = [F.col(c) if number else F.lit(None).cast(dict(vectors.dtypes)[c]).alias(c) for c in order + [name]]
+        return cut.select(*keys, "_i", "_j", F.lit(number).alias("_side"), "text", "codes", "tfs", F.col("nsq").cast("bigint").alias("nsq"), *extra)
+
+    rows = side(left, 0, "_i", "_j", "_nl", "_nr").unionByName(side(vectors, 1, "_j", "_i", "_nr", "_nl"))
+    kinds = dict(rows.dtypes)
+    given = order + [name]
+
+    def work(table: pa.Table, starts: np.ndarray):
+        which, length = table.column("_side").to_numpy(), table.column("nsq").to_numpy().astype(np.float64)
+        codes, tfs = (table.column(c).combine_chunks() for c in ("codes", "tfs"))
+        lefts, rights, scores = [], [], []
+        for s, e in zip(starts.tolist(), np.append(starts[1:], table.num_rows).tolist()):
+            m = s + int(np.searchsorted(which[s:e], 1))
+            if s == m or m == e:
+                continue
+            counts = _dense(codes.slice(s, e - s), tfs.slice(s, e - s))
+            size = np.sqrt(length[s:m, None] * length[None, m:e])
+            score = (counts[:m - s] @ counts[m - s:].T).astype(np.float64) / np.where(size > 0, size, 1.0)
+            best = score.argmax(axis=1)         # right rows come in the order that decides ties
+            reached = score[np.arange(m - s), best]
+            ok = np.flatnonzero((reached >= threshold) & (length[s:m] > 0))
+            lefts.append(s + ok)
+            rights.append(m + best[ok])
+            scores.append(reached[ok])
+        lefts, rights = (np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (lefts, rights))
+        score = np.concatenate(scores) if scores else np.zeros(0)
+        columns = [table.column(c).take(lefts) for c in keys + ["text"]] + [pa.array(score)] + [table.column(c).take(rights) for c in given]
+        yield from pa.table(columns, names=keys + ["text", "score"] + given).combine_chunks().to_batches()
+
+    schema = ", ".join(f"`{c}` {kinds[c]}" for c in keys + ["text"]) + ", score double, " + ", ".join(f"`{c}` {kinds[c]}" for c in given)
+    best = map_groups(rows, keys + ["_i", "_j"], work, schema, ["_side", *given])
+    return materialize(best_row(best, keys + ["text"], [-F.col("score")] + [F.col(o) for o in order] + [F.col(name)], [name, "score"]), "matches")
 
 
 # ------------------------------------------------------------------ catalogue match
