@@ -14,6 +14,7 @@ SALTS = 32
 
 _local_roots: dict[str, str] = {}
 _shipped: set[str] = set()
+_scratch_of: set[str] = set()
 
 
 def scratch_root(spark: SparkSession) -> str:
@@ -48,7 +49,21 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{scratch_root(spark)}/lotwise/{name}-{uuid.uuid4().hex}"
+    """A fresh path below the application's own part of the scratch folder, which goes when the driver ends."""
+    app = spark.sparkContext.applicationId
+    if app not in _scratch_of:
+        _scratch_of.add(app)
+        atexit.register(discard_scratch, spark)
+    return f"{scratch_root(spark)}/lotwise/{app}/{name}-{uuid.uuid4().hex}"
+
+
+def discard_scratch(spark: SparkSession) -> None:
+    """Delete the application's written tables; frames that read them cannot be used any more."""
+    context = spark.sparkContext
+    if context._jsc is None:                # the session has ended
+        return
+    folder = context._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/lotwise/{context.applicationId}")
+    folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
