@@ -271,3 +271,64 @@ def test_one_hot_unknown(spark):
 def test_exact_split_takes_the_wanted_number(spark):
     df = spark.range(101)
     assert enc.exact_split(df, "id").where("is_test").count() == math.ceil(0.2 * 101)
+
+
+def test_codes_of_many_categories(spark):
+    df = spark.range(10_000).select((F.col("id") % 5000).cast("string").alias("k"))
+    model = enc.OrdinalCode(["k"]).fit(df)
+    order = {v: i for i, v in enumerate(sorted(str(i) for i in range(5000)))}
+    new = spark.createDataFrame([("17",), ("4999",), ("new",), (None,)], "k string")
+    assert [r["k"] for r in model.transform(new).collect()] == [order["17"], order["4999"], -1.0, None]
+    sparse = enc.OneHot(["k"], sparse=True).fit(df).transform(new).collect()
+    assert [r["k_vector"].size for r in sparse] == [5001] * 4
+    assert [list(r["k_vector"].indices) for r in sparse] == [[order["17"]], [order["4999"]], [5000], []]
+
+
+def test_imputer_with_forty_columns(spark):
+    names = [f"c{i}" for i in range(40)]
+    rows = [tuple(float(k if i < 35 else 10 * k + i) for i in range(40)) for k in range(12)]
+    rows.append(tuple([3.0] * 35 + [None] * 5))
+    df = spark.createDataFrame(rows, ", ".join(f"{n} double" for n in names))
+    out = neighbours.KnnImputer(names, k=1).fit(df).transform(df).where("c0 = 3").collect()
+    assert len(out) == 2 and all([r[f"c{i}"] for i in range(35, 40)] == [30.0 + i for i in range(35, 40)] for r in out)
+
+
+def test_grouped_medians(spark):
+    r = rng()
+    rows = [(f"g{i % 7}", None if i % 97 == 0 else float(r.choice([5, r.randint(0, 10_000)]))) for i in range(20_000)] + [(None, 1.0), ("one", 2.0)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    want = {g: float(np.median([v for h, v in rows if h == g and v is not None])) for g in {h for h, _ in rows if h is not None}}
+    got = {x["g"]: x["median"] for x in quantiles.grouped_median(df, "g", "v", accuracy=100, handful=10).collect()}
+    assert got == want
+
+
+def test_exact_split_with_shared_and_null_keys(spark):
+    df = spark.createDataFrame([(None if i % 3 == 0 else i % 4,) for i in range(200)], "k int")
+    assert enc.exact_split(df, "k", 0.35).where("is_test").count() == 70
+
+
+def test_best_matches_across_blocks(spark, monkeypatch):
+    monkeypatch.setattr(sim, "BLOCK", 7)
+    r = rng()
+    words = ["".join(r.choice("abcd") for _ in range(r.randint(2, 9))) for _ in range(120)]
+    left = spark.createDataFrame([("k" if i % 3 else "z", w) for i, w in enumerate(words)], "k string, version string")
+    right = spark.createDataFrame([("k" if i % 2 else "z", w, i % 5) for i, w in enumerate(words[::-1][:60])], "k string, name string, quantity int")
+    codes = sim.vocabulary(left.select(F.col("version").alias("text")).unionByName(right.select(F.col("name").alias("text"))))
+    got = {(x["k"], x["version"]): (x["name"], x["score"]) for x in sim.match_catalogue(
+        left, right, ["k"], "version", 0.2, codes, "quantity").collect()}
+
+    def counts(t):
+        out = {}
+        for n in (2, 3):
+            for i in range(len(t) - n + 1):
+                out[t[i:i + n]] = out.get(t[i:i + n], 0) + 1
+        return out
+
+    def score(a, b):
+        a, b = counts(a), counts(b)
+        return sum(v * b.get(g, 0) for g, v in a.items()) / math.sqrt(sum(v * v for v in a.values()) * sum(v * v for v in b.values()))
+
+    pool = [(x["k"], x["name"], x["quantity"]) for x in right.collect()]
+    for (k, version), (name, value) in got.items():
+        found = sorted((-score(version, n), -q, n) for g, n, q in pool if g == k)
+        assert (name, value) == ((found[0][2], pytest.approx(-found[0][0])) if -found[0][0] >= 0.2 else (None, None))
