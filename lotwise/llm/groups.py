@@ -1,14 +1,11 @@
-"""Work on bounded groups: block pairs of large ones, tasks over many small ones, linked components."""
+"""Block pairs of large groups, and linked components."""
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
-
 import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Observation, functions as F
 
+from lotwise.operators.blocks import group_starts, map_groups  # noqa: F401
 from lotwise.session import materialize
 
 
@@ -26,37 +23,6 @@ def in_block_pairs(rows: DataFrame, group: str, key: str, size: str, limit: int)
     return rows.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other")).drop("other")
 
 
-def map_groups(df: DataFrame, by: list[str], work: Callable[[pa.Table, np.ndarray], Iterator[pa.RecordBatch]],
-               schema: str) -> DataFrame:
-    """``work(table, starts)`` over whole groups, many of them at a time; groups must be bounded."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: pa.Table | None = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            table = pa.Table.from_batches([batch])
-            table = table if rest is None else pa.concat_tables([rest, table]).combine_chunks()
-            starts = group_starts(table, by)
-            if len(starts) > 1:
-                yield from work(table.slice(0, int(starts[-1])).combine_chunks(), starts[:-1])
-                table = table.slice(int(starts[-1]))
-            rest = table
-        if rest is not None:
-            rest = rest.combine_chunks()
-            yield from work(rest, group_starts(rest, by))
-
-    return df.repartition(*by).sortWithinPartitions(*by).mapInArrow(run, schema)
-
-
-def group_starts(table: pa.Table, by: list[str]) -> np.ndarray:
-    fresh = np.zeros(table.num_rows, dtype=bool)
-    fresh[0] = True
-    for name in by:
-        column = table.column(name)
-        fresh[1:] |= np.asarray(pc.not_equal(column.slice(1), column.slice(0, table.num_rows - 1)).combine_chunks().to_numpy(zero_copy_only=False))
-    return np.flatnonzero(fresh)
-
-
 def local_roots(linked: np.ndarray) -> np.ndarray:
     """Least index of each row's component in a symmetric boolean matrix."""
     root = np.full(len(linked), -1)
@@ -105,9 +71,11 @@ def components(edges: DataFrame, name: str = "stars") -> DataFrame:
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = now.groupBy("b").agg(F.lit(1).alias("one")).select(F.col("b").alias("a"), F.col("b").alias("m")).unionByName(
             now.groupBy("a").agg(F.min("b").alias("m"))).groupBy("a").agg(F.min("m").alias("m"))
+        # Written first, so that both sides of the join are plain shuffles, which can be split at a hot node.
+        least = materialize(least, name)
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         large = materialize(large, name)
-        small = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = materialize(large.groupBy("a").agg(F.min("b").alias("m")), name)
         after = (large.join(small, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                  .unionByName(small.select("a", F.col("m").alias("b"))).distinct())
         after, fresh = written(after)

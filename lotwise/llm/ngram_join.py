@@ -10,8 +10,10 @@ Two sets of Jaccard similarity ``s`` or more share at least ``s`` of the larger
 one.  With a chance of ``1 / (s n)`` per shingle of a set of ``n`` they share one
 chosen path or more on average at every level, whatever their sizes.
 
-Buckets compare bottom-k sketches and only say which classes belong together;
-inside the components that come of it all pairs are compared exactly, on whole
+Buckets compare bottom-k sketches and only say which classes belong together.
+After the first runs a bucket whose classes are all known to belong together is
+not opened again, so that a large group of near copies costs a few runs only.
+Inside the components that come of it all pairs are compared exactly, on whole
 shingle sets, in pairs of blocks.  No row per pair is ever made: a block yields
 link counts per class and a spanning star per component.
 """
@@ -27,15 +29,18 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from lotwise.llm.groups import components, in_block_pairs, local_roots, map_groups, roots_of_pairs
+from lotwise.llm.groups import components, in_block_pairs, local_roots, roots_of_pairs
+from lotwise.operators.blocks import map_groups
 from lotwise.session import materialize
 
 WORDS = 5
 SIMILARITY = 0.8
 RECALL = 0.995
 LEVELS = 3
+FIRST_RUNS = 3          # after these, buckets that lie inside one component are left out
 BUCKET = 64             # a bucket up to this size is compared by brute force
-BLOCK = 256             # rows of one block of a large group
+BLOCK = 256             # whole sets in one block of a large component
+SKETCH_BLOCK = 1024     # sketches in one block of a large bucket
 SKETCH = 64
 #: A sketch of two sets at the limit shares four fifths of its entries, give or take a twentieth.
 LEAST_SHARED = 0.6
@@ -101,11 +106,16 @@ def set_key(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
+def run_starts(runs: int) -> np.ndarray:
+    """The empty path of every run, as it stands above the paths of the first level."""
+    return _mixed(np.arange(1, runs + 1, dtype=np.uint64) * _MIX)
+
+
 def chosen_paths(shingles: np.ndarray, runs: int, levels: int, similarity: float) -> list[tuple[np.ndarray, np.ndarray]]:
     """Per level (parents, paths): what the set chooses below each path it has chosen."""
     share = 1 / (similarity * len(shingles))
     limit = np.uint64(min(share, 1.0) * (2**64 - 2**12)) if share < 1 else np.uint64(2**64 - 1)
-    paths = _mixed(np.arange(1, runs + 1, dtype=np.uint64) * _MIX)
+    paths = run_starts(runs)
     out = []
     for _ in range(levels):
         drawn = _mixed(paths[:, None] + shingles[None, :] * _MIX)
@@ -229,12 +239,25 @@ def _bucket_links(similarity: float):
     return work
 
 
-def candidate_edges(classes: DataFrame, levels: int, similarity: float) -> DataFrame:
-    """(a, b) between class keys: stars over the classes whose sketches agree in some bucket."""
-    active = classes.select("key", F.explode("path1").alias("path"))
+def candidate_edges(classes: DataFrame, starts: np.ndarray, levels: int, similarity: float,
+                    known: DataFrame | None = None) -> DataFrame:
+    """(a, b) between class keys: stars over the classes whose sketches agree in some bucket.
+
+    ``starts`` are the runs to look at.  With ``known`` (id, root), buckets of
+    classes that all have one root are left out.
+    """
+    chosen = [int(x) for x in starts.view(np.int64)]
+    step = F.filter(F.arrays_zip(F.col("up1").alias("up"), F.col("path1").alias("path")), lambda x: x["up"].isin(chosen))
+    rows = classes.select("key", step.alias("step"))
+    if known is None:
+        rows = rows.withColumn("root", F.col("key"))
+    else:
+        rows = rows.join(known.withColumnRenamed("id", "key"), "key", "left").withColumn("root", F.coalesce("root", "key"))
+    active = rows.select("key", "root", F.explode("step").alias("x")).select("key", "root", "x.path")
     leaves = None
     for level in range(1, levels + 1):
-        counts = active.groupBy("path").agg(F.count("*").alias("size")).where("size > 1")
+        counts = (active.groupBy("path").agg(F.count("*").alias("size"), F.min("root").alias("low"), F.max("root").alias("high"))
+                  .where("size > 1 and low <> high").select("path", "size"))
         sized = materialize(active.join(counts, "path"), f"paths{level}")
         part = sized if level == levels else sized.where(F.col("size") <= BUCKET)
         leaves = part if leaves is None else leaves.unionByName(part)
@@ -242,11 +265,11 @@ def candidate_edges(classes: DataFrame, levels: int, similarity: float) -> DataF
         if level == levels or large.isEmpty():
             break
         below = F.arrays_zip(F.col(f"up{level + 1}").alias("up"), F.col(f"path{level + 1}").alias("path"))
-        active = (large.select("key", F.col("path").alias("parent"))
+        active = (large.select("key", "root", F.col("path").alias("parent"))
                   .join(classes.select("key", below.alias("below")), "key")
-                  .select("key", F.explode(F.filter("below", lambda x: x["up"] == F.col("parent"))).alias("x"))
-                  .select("key", F.col("x.path").alias("path")))
-    cut = in_block_pairs(leaves, "path", "key", "size", BLOCK)
+                  .select("key", "root", F.explode(F.filter("below", lambda x: x["up"] == F.col("parent"))).alias("x"))
+                  .select("key", "root", F.col("x.path").alias("path")))
+    cut = in_block_pairs(leaves, "path", "key", "size", SKETCH_BLOCK)
     rows = cut.select("path", "i", "j", "key").join(classes.select("key", "n", "sketch"), "key")
     return map_groups(rows, ["path", "i", "j"], _bucket_links(similarity), "a binary, b binary")
 
@@ -303,7 +326,12 @@ def jaccard_join(docs: DataFrame, similarity: float = SIMILARITY, recall: float
         F.first(F.struct("n", "sketch", *tree)).alias("set"))
     classes = materialize(same.select("key", "class_id", "copies", "tk", "set.*"), "ngram-classes")
 
-    near = materialize(components(candidate_edges(classes, levels, similarity), "ngram-near"), "ngram-near")
+    starts = run_starts(runs)
+    near = materialize(components(candidate_edges(classes, starts[:FIRST_RUNS], levels, similarity), "ngram-near"), "ngram-near")
+    if runs > FIRST_RUNS:
+        more = candidate_edges(classes, starts[FIRST_RUNS:], levels, similarity, near)
+        stars = near.select(F.col("id").alias("a"), F.col("root").alias("b"))
+        near = materialize(components(stars.unionByName(more), "ngram-near"), "ngram-near")
     sizes = near.groupBy("root").agg(F.count("*").alias("size"))
     nodes = (near.withColumnRenamed("id", "key").join(sizes, "root")
              .join(classes.select("key", "tk", "copies"), "key"))

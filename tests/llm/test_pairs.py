@@ -55,6 +55,7 @@ def all_pairs(rows):
 def test_jaccard_join(spark, monkeypatch, bucket):
     monkeypatch.setattr(ngram_join, "BUCKET", bucket)       # a small one forces the deeper levels and the block pairs
     monkeypatch.setattr(ngram_join, "BLOCK", max(bucket, 16))
+    monkeypatch.setattr(ngram_join, "SKETCH_BLOCK", max(bucket, 16))
     rows = near_texts() + ODD
     out = ngram_join.jaccard_join(frame(spark, rows)).collect()
     got = sorted((r["row"]["doc_id"] or -1, r["n_links"], r["component_id"] or -1) for r in out)
