@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, Observation, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from lotwise.operators.blocks import group_starts, map_groups  # noqa: F401
-from lotwise.session import materialize
+from lotwise.session import materialize, materialize_counted
 
 
 def in_block_pairs(rows: DataFrame, group: str, key: str, size: str, limit: int) -> DataFrame:
@@ -54,33 +54,28 @@ def roots_of_pairs(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
 def components(edges: DataFrame, name: str = "stars") -> DataFrame:
     """(id, root) of every node of ``edges`` (a, b): the least id that links lead to.
 
-    Two steps take turns until the edges stay as they are: every node hands its
-    larger neighbours to the least one, then its smaller ones.  Degrees are
-    reduced by aggregation, joins are on the node, and a node of high degree is
-    a skewed key of the side with the edges, which adaptive execution splits.
-    Every round is written out.
+    Two steps take turns until only stars are left: every node hands its larger
+    neighbours to the least one, then its smaller ones.  Degrees are reduced by
+    aggregation, and every step is written out.
     """
-    def written(df):
-        seen = Observation()
-        mark = F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))
-        out = materialize(df.observe(seen, F.count(F.lit(1)).alias("n"), mark.alias("mark")), name)
-        return out, (seen.get["n"], seen.get["mark"])
-
-    now, mark = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    while mark[0]:
+    now, n = materialize_counted(edges.where("a <> b").select(
+        F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
+    while n and not _stars_only(now):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = now.groupBy("b").agg(F.lit(1).alias("one")).select(F.col("b").alias("a"), F.col("b").alias("m")).unionByName(
-            now.groupBy("a").agg(F.min("b").alias("m"))).groupBy("a").agg(F.min("m").alias("m"))
-        # Written first, so that both sides of the join are plain shuffles, which can be split at a hot node.
-        least = materialize(least, name)
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
-        large = materialize(large, name)
-        small = materialize(large.groupBy("a").agg(F.min("b").alias("m")), name)
-        after = (large.join(small, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-                 .unionByName(small.select("a", F.col("m").alias("b"))).distinct())
-        after, fresh = written(after)
-        if fresh == mark:
-            break
-        now, mark = after, fresh
+        least = now.select(F.col("b").alias("a"), F.col("b").alias("m")).unionByName(
+            now.select("a", F.col("b").alias("m"))).groupBy("a").agg(F.min("m").alias("m"))
+        large = materialize(both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), name)
+        small = large.groupBy("a").agg(F.min("b").alias("m"))
+        now = materialize(large.join(small, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+                          .unionByName(small.select("a", F.col("m").alias("b"))).distinct(), name)
     return now.select(F.col("a").alias("id"), F.col("b").alias("root")).unionByName(
         now.select(F.col("b").alias("id"), F.col("b").alias("root"))).distinct()
+
+
+def _stars_only(edges: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour at most, and only nodes without one are such neighbours."""
+    ends = edges.select("a", "b", F.lit(0).alias("centre")).unionByName(
+        edges.select(F.col("b").alias("a"), F.lit(None).cast(edges.schema["b"].dataType).alias("b"), F.lit(1).alias("centre")))
+    # A node with a smaller neighbour must not be a centre, and all its smaller neighbours must be one.
+    wrong = F.col("least").isNotNull() & ((F.col("centre") == 1) | (F.col("least") != F.col("most")))
+    return ends.groupBy("a").agg(F.min("b").alias("least"), F.max("b").alias("most"), F.max("centre").alias("centre")).where(wrong).isEmpty()
