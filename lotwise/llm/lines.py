@@ -58,17 +58,17 @@ def drop_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, id_column: str
       line is left to them.
     * An empty table gives an empty one; other columns travel in the struct.
     """
-    text = F.col(text_column)
+    # The struct alone carries the text through the join below.
     rows = docs.select(F.struct("*").alias("row"), F.col(id_column).alias("id"), F.col(site_column).alias("site"),
-                       text.alias("text"), F.xxhash64(F.col(id_column), text).alias("rk"))
-    found = F.array_distinct(F.transform(F.split("text", "\n", -1), line_key))
+                       F.xxhash64(F.col(id_column), F.col(text_column)).alias("rk"))
+    lines = F.split(F.col(f"row.`{text_column}`"), "\n", -1)
+    found = F.array_distinct(F.transform(lines, line_key))
     keys = materialize(rows.select("rk", "id", "site", F.explode(F.filter(found, lambda k: k.isNotNull())).alias("k"))
                        .select("rk", "id", "site", "k.a", "k.b"), "lines-keys")
     gone = boilerplate(keys, min_sites)
     hit = (keys.join(gone, ["a", "b"]).where(~F.col("id").eqNullSafe(F.col("holder")))
            .groupBy("rk").agg(F.collect_set(F.struct("a", "b")).alias("gone")))
-    joined = rows.join(hit, "rk", "left")
-    lines = F.split("text", "\n", -1)
+    joined = rows.select("row", "rk").join(hit, "rk", "left")
     kept = F.when(F.col("gone").isNull(), lines).otherwise(
         F.filter(lines, lambda x: ~F.coalesce(F.array_contains(F.col("gone"), line_key(x)), F.lit(False))))
     return joined.select("row", lines.alias("lines"), kept.alias("kept"))
