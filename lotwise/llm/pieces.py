@@ -57,6 +57,10 @@ class PieceModel:
         scores = sorted({sp.get_score(i) for i in ids.values()}, reverse=True)
         places = {s: k for k, s in enumerate(scores)}
         rank = {p: places[sp.get_score(i)] for p, i in ids.items()}
+        self.of_char = np.arange(0x110000, dtype=np.int64) + self.first_unknown
+        for p, i in self.symbols.items():
+            if len(p) == 1:
+                self.of_char[ord(p)] = i
         self._merge_table(ids, rank)
         self._decode_table(pieces, special, byte_ids)
         self.extra = {v: k for k, v in self.symbols.items() if v >= self.size}
@@ -78,8 +82,8 @@ class PieceModel:
             return ""
         runs = [[BLANK * n, BLANK * (n - most)] for n in range(most + 1, 4 * most)]
         long, short = (self.merge_rounds([r[i] for r in runs]) for i in (0, 1))
-        whole = ids[BLANK * most]
-        if any(a.tolist() != [whole, *b.tolist()] for a, b in zip(long, short, strict=True)):
+        whole = np.array([ids[BLANK * most]], dtype="<u4").tobytes()
+        if any(a != whole + b for a, b in zip(long, short, strict=True)):
             return ""
         return f"{BLANK}{{{most}}}(?={BLANK})|"
 
@@ -119,13 +123,12 @@ class PieceModel:
         there = self.keys[at] == key
         return np.where(there, self.ranks[at], NO_PAIR), np.where(there, self.results[at], 0)
 
-    def merge_rounds(self, words: list[str]) -> list[np.ndarray]:
-        """Symbols of every word after all merges (``words`` are not empty)."""
+    def merge_rounds(self, words: list[str]) -> list[bytes]:
+        """Packed ids of every word after all merges (``words`` are not empty)."""
         lengths = np.array([len(w) for w in words])
-        get, unknown = self.symbols.get, self.first_unknown
-        sym = np.array([get(c, unknown + ord(c)) for w in words for c in w], dtype=np.int64)
+        sym = self.of_char[np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), dtype="<u4")]
         word = np.repeat(np.arange(len(words)), lengths)
-        done: list[np.ndarray] = [sym[:0]] * len(words)
+        done = [b""] * len(words)
 
         def ranked(sym, word):
             ranks, made = np.full(len(sym), NO_PAIR, dtype=np.int32), np.zeros(len(sym), dtype=np.int64)
@@ -140,9 +143,8 @@ class PieceModel:
             over = best == NO_PAIR
             sizes = np.diff(np.append(starts, len(sym)))
             if over.any():
-                for s, n in zip(starts[over], sizes[over], strict=True):
-                    done[word[s]] = sym[s:s + n].copy()
                 stay = np.repeat(~over, sizes)
+                self._finish(done, sym[~stay], word[starts[over]], sizes[over])
                 sym, word, ranks, made = sym[stay], word[stay], ranks[stay], made[stay]
                 if not len(sym):
                     break
@@ -161,24 +163,29 @@ class PieceModel:
             stay[at + 1] = False
             at = at - np.arange(len(at))
             sym, word, ranks, made = sym[stay], word[stay], ranks[stay], made[stay]
-            near = np.unique(np.concatenate([at, at[at > 0] - 1]))
+            near = np.concatenate([at, at[at > 0] - 1])
             ranks[near], made[near] = NO_PAIR, 0
             near = near[near + 1 < len(sym)]
             near = near[word[near] == word[near + 1]]
             ranks[near], made[near] = self._pairs(sym[near], sym[near + 1])
         return done
 
-    def _ids(self, symbols: np.ndarray) -> bytes:
-        if symbols.max(initial=0) >= self.size:
-            out = []
-            for s in symbols.tolist():
-                if s < self.size:
-                    out.append(s)
-                else:
-                    char = self.extra.get(s) or chr(s - self.first_unknown)
-                    out += self.byte_ids[list(char.encode("utf-8", "surrogatepass"))].tolist()
-            symbols = np.array(out)
-        return symbols.astype("<u4").tobytes()
+    def _finish(self, done: list[bytes], symbols: np.ndarray, words: np.ndarray, sizes: np.ndarray) -> None:
+        """Put the ids of finished words in place; characters without a piece become their bytes' pieces."""
+        odd = symbols >= self.size
+        if odd.any():
+            ends = np.cumsum(sizes)
+            spelled = [self._bytes_of(s) if s >= self.size else (s,) for s in symbols.tolist()]
+            grown = np.add.reduceat(np.array([len(x) for x in spelled]), ends - sizes)
+            symbols, sizes = np.array([i for x in spelled for i in x]), grown
+        packed = symbols.astype("<u4").tobytes()
+        ends = 4 * np.cumsum(sizes)
+        for w, a, b in zip(words.tolist(), (ends - 4 * sizes).tolist(), ends.tolist(), strict=True):
+            done[w] = packed[a:b]
+
+    def _bytes_of(self, symbol: int) -> list[int]:
+        char = self.extra.get(symbol) or chr(symbol - self.first_unknown)
+        return self.byte_ids[list(char.encode("utf-8", "surrogatepass"))].tolist()
 
     def _keys_of(self, text: str) -> list[str]:
         """The text's words without their first blank."""
@@ -198,8 +205,7 @@ class PieceModel:
         new = list({k for ks in keys for k in ks if k not in known})
         for i in range(0, len(new), 50_000):
             part = new[i:i + 50_000]
-            for k, symbols in zip(part, self.merge_rounds([BLANK + k for k in part]), strict=True):
-                known[k] = self._ids(symbols)
+            known.update(zip(part, self.merge_rounds([BLANK + k for k in part]), strict=True))
         begin, end = np.array([self.bos], "<u4").tobytes(), np.array([self.eos], "<u4").tobytes()
         return [b"".join([begin, *map(known.__getitem__, ks), end]) for ks in keys]
 
