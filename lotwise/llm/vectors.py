@@ -20,12 +20,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from lotwise.llm.groups import components, in_block_pairs, local_roots, map_groups
+from lotwise.llm.groups import components, in_block_pairs, local_roots
+from lotwise.operators.blocks import map_groups
 from lotwise.session import materialize
 
 COSINE = 0.9
-TABLES = 12
-TURNS = 3               # axes per bucket
+TABLES = 10
+TURNS = 4               # axes per bucket
 PROBES = 8              # buckets a vector visits per table
 BLOCK = 256
 SEED = 17
