@@ -43,8 +43,12 @@ def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 @shipped
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays."""
-    return ngram_join.one_per_group(docs)
+    """One document of each group of near duplicates stays.
+
+    Copies on many sites have lost their lines to the stage before, so rows are
+    near if their texts are, as they are now or as they came.
+    """
+    return ngram_join.one_per_group(docs, earlier=lines.texts_before(docs, table(spark, sf_dir, "documents")))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

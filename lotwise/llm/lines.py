@@ -79,3 +79,20 @@ def without_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFram
     out = drop_boilerplate(docs, min_sites).withColumn("now", F.array_join("kept", "\n"))
     fresh = {"text": F.col("now"), "n_chars": F.length("now").cast("bigint")}
     return out.select(*[fresh[c].alias(c) if c in fresh else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+
+
+def texts_before(docs: DataFrame, before: DataFrame) -> DataFrame:
+    """(doc_id, tk, text) of the rows of ``docs`` that lost lines: the text they had in ``before``.
+
+    ``tk`` is the hash of the present text, null taken as empty.  Rows are found
+    by their id; where ids repeat, texts that lack a line of the row are not its
+    own.  Rows without an id, or unknown in ``before``, have no earlier text.
+    """
+    text = F.coalesce("text", F.lit(""))
+    words = F.transform(F.filter(F.split(text, "\n", -1), lambda x: line_key(x).isNotNull()), lambda x: F.xxhash64(x))
+    own = docs.select("doc_id", F.xxhash64(text).alias("tk"), words.alias("left"))
+    was = before.select("doc_id", F.xxhash64(text).alias("tk"))
+    lost = materialize(own.where("doc_id is not null").join(was, ["doc_id", "tk"], "left_anti")
+                       .groupBy("doc_id", "tk").agg(F.first("left").alias("left")), "lines-lost")
+    found = before.select("doc_id", "text").join(lost, "doc_id").where(F.size(F.array_except("left", words)) == 0)
+    return materialize(found.select("doc_id", "tk", "text"), "lines-before")

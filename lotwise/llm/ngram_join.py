@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from lotwise.llm.groups import components, in_block_pairs, local_roots, roots_of_pairs
 from lotwise.operators.blocks import map_groups
-from lotwise.session import materialize
+from lotwise.session import forget, materialize
 
 WORDS = 5
 SIMILARITY = 0.8
@@ -301,11 +301,12 @@ def _verified(similarity: float):
 
 def jaccard_join(docs: DataFrame, similarity: float = SIMILARITY, recall: float = RECALL, levels: int = LEVELS,
                  id_column: str = "doc_id", text_column: str = "text", keep: list[str] | None = None) -> DataFrame:
-    """(row, tk, class_id, copies, n_links, component_id, kept) of every row of ``docs``.
+    """(row, tk, class_id, copies, n_links, component_id, kept, component) of every row of ``docs``.
 
     * ``class_id``: least id among rows with the same shingle set; ``copies`` of them.
     * ``n_links``: other rows at ``similarity`` or more, equal sets included.
     * ``component_id``: least id that links lead to; ``kept`` marks its rows.
+    * ``component``: key of the component, also where ids repeat; null without shingles.
     * ``tk``: hash of the text, which with the id names the row.
 
     Null and empty texts, and texts without words, have no shingles: no links,
@@ -325,6 +326,9 @@ def jaccard_join(docs: DataFrame, similarity: float = SIMILARITY, recall: float
         F.min("row.id").alias("class_id"), F.count("*").alias("copies"), F.min("tk").alias("tk"),
         F.first(F.struct("n", "sketch", *tree)).alias("set"))
     classes = materialize(same.select("key", "class_id", "copies", "tk", "set.*"), "ngram-classes")
+    # The sketches and paths of single rows are not needed any more.
+    sets, prepared = prepared, materialize(prepared.select("row", "tk", "key"), "ngram-rows")
+    forget(docs.sparkSession, sets)
 
     starts = run_starts(runs)
     near = materialize(components(candidate_edges(classes, starts[:FIRST_RUNS], levels, similarity), "ngram-near"), "ngram-near")
@@ -332,6 +336,9 @@ def jaccard_join(docs: DataFrame, similarity: float = SIMILARITY, recall: float
         more = candidate_edges(classes, starts[FIRST_RUNS:], levels, similarity, near)
         stars = near.select(F.col("id").alias("a"), F.col("root").alias("b"))
         near = materialize(components(stars.unionByName(more), "ngram-near"), "ngram-near")
+        del stars, more
+    paths, classes = classes, materialize(classes.select("key", "class_id", "copies", "tk"), "ngram-named")
+    forget(docs.sparkSession, paths)
     sizes = near.groupBy("root").agg(F.count("*").alias("size"))
     nodes = (near.withColumnRenamed("id", "key").join(sizes, "root")
              .join(classes.select("key", "tk", "copies"), "key"))
@@ -361,7 +368,7 @@ def jaccard_join(docs: DataFrame, similarity: float = SIMILARITY, recall: float
     of_class = materialize(
         classes.select("key", "class_id", "copies").join(counted, "key", "left").join(member, "key", "left").select(
             "key", "class_id", "copies", F.coalesce("links", F.lit(0)).alias("links"),
-            F.coalesce("component_id", "class_id").alias("component_id"),
+            F.coalesce("component_id", "class_id").alias("component_id"), F.coalesce("first", "key").alias("component"),
             # Without any id in the component the class of least key stands for it.
             F.when(F.col("component_id").isNull(), F.coalesce(F.col("first") == F.col("key"), F.lit(True)))
             .otherwise(F.col("class_id") == F.col("component_id")).alias("chosen")), "ngram-result")
@@ -373,15 +380,45 @@ def jaccard_join(docs: DataFrame, similarity: float = SIMILARITY, recall: float
         F.coalesce("copies", F.lit(1)).cast("bigint").alias("copies"),
         F.when(empty, F.lit(0)).otherwise(F.col("copies") - 1 + F.col("links")).cast("bigint").alias("n_links"),
         F.when(empty, own).otherwise(F.col("component_id")).alias("component_id"),
-        F.when(empty, F.lit(True)).otherwise(F.col("chosen") & own.eqNullSafe(F.col("class_id"))).alias("kept"))
+        F.when(empty, F.lit(True)).otherwise(F.col("chosen") & own.eqNullSafe(F.col("class_id"))).alias("kept"),
+        "component")
 
 
-def one_per_group(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """``docs`` with one row of each linked group, the one of least id, and all rows without words."""
-    marked = jaccard_join(docs, similarity, keep=["doc_id"])
-    kept = marked.where("kept").groupBy(F.col("row.doc_id").alias("_id"), "tk").agg(F.lit(1).alias("_one"))
+def one_per_group(docs: DataFrame, similarity: float = SIMILARITY, earlier: DataFrame | None = None) -> DataFrame:
+    """``docs`` with one row of each linked group, the one of least id, and all rows without words.
+
+    ``earlier`` (doc_id, tk, text) holds former texts of rows, named by id and
+    hash of the present text.  A row then belongs to all groups that any of its
+    texts belongs to, and these groups are one.  Of such a group the row of
+    least id that has words stays, or the one of least id if none has any.
+    """
     rows = docs.select(F.struct("*").alias("row"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("tk"))
+    if earlier is None:
+        marked = jaccard_join(docs, similarity, keep=["doc_id"])
+        kept = marked.where("kept").groupBy(F.col("row.doc_id").alias("_id"), "tk").agg(F.lit(1).alias("_one"))
+    else:
+        kept = _kept_by_all_texts(rows, earlier, similarity)
     stay = rows.join(kept, rows["row.doc_id"].eqNullSafe(kept["_id"]) & (rows["tk"] == kept["tk"]), "left_semi")
     # Rows alike in id and text are one document.
     once = stay.groupBy(F.col("row.doc_id").alias("_id"), "tk").agg(F.first("row").alias("row"))
     return once.select("row.*")
+
+
+def _kept_by_all_texts(rows: DataFrame, earlier: DataFrame, similarity: float) -> DataFrame:
+    """(_id, tk) of the rows that stay when present and earlier texts both link."""
+    texts = rows.select(F.col("row.doc_id").alias("doc_id"), F.col("tk").alias("of"), F.col("row.text").alias("text"), F.lit(True).alias("present"))
+    texts = texts.unionByName(earlier.select("doc_id", F.col("tk").alias("of"), "text", F.lit(False).alias("present")))
+    marked = jaccard_join(texts, similarity, keep=["doc_id", "of", "present"])
+    found = F.col("component").isNotNull()
+    held = materialize(
+        marked.select("row.*", "component").groupBy("doc_id", "of").agg(
+            F.min("component").alias("group"), F.collect_set("component").alias("groups"),
+            F.max(F.col("present") & found).alias("words")), "ngram-held")
+    # Most rows have one group; the others say which groups are one.
+    roots = components(held.where(F.size("groups") > 1).select(F.col("group").alias("a"), F.explode("groups").alias("b")), "ngram-groups")
+    row = F.struct(~F.col("words"), F.col("doc_id").isNull(), F.col("doc_id").alias("id"), F.col("of").alias("tk"))
+    least = held.where("group is not null").groupBy("group").agg(F.min(row).alias("least"))
+    one = (least.join(roots.withColumnRenamed("id", "group"), "group", "left")
+           .groupBy(F.coalesce("root", "group").alias("root")).agg(F.min("least").alias("least")))
+    alone = held.where("group is null").select(F.col("doc_id").alias("_id"), F.col("of").alias("tk"))
+    return materialize(one.select(F.col("least.id").alias("_id"), F.col("least.tk").alias("tk")).unionByName(alone), "ngram-kept")

@@ -1,6 +1,7 @@
 """Session helpers: the shared scratch folder, written tables, lookup joins."""
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -71,7 +72,18 @@ def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    written = spark.read.schema(df.schema).parquet(path)
+    written._scratch_path = path
+    return written
+
+
+def forget(spark: SparkSession, *written: DataFrame) -> None:
+    """Delete written tables that nothing reads any more, and have Spark drop the shuffle files of frames out of use."""
+    for table in written:
+        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table._scratch_path)
+        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()     # the cleaner learns of dead frames by garbage collection only
 
 
 def materialize_counted(df: DataFrame, name: str = "table") -> tuple[DataFrame, int]:

@@ -84,3 +84,35 @@ def test_run_equals_the_stages(spark, corpus):
     folder, _ = corpus
     out = corpus_pipeline.run(spark, folder)
     assert {"doc_id", "n_tokens", "ids", "decoded"} <= set(out.columns) and out.count() > 100
+
+
+def test_copies_on_many_sources(spark, tmp_path):
+    draw = random.Random(31)
+
+    def text():
+        return "\n".join(" ".join(f"v{draw.randint(0, 5000)}" for _ in range(25)) for _ in range(6))
+
+    groups, rows = {}, []
+    for g in range(6):                              # exact copies, then near ones with three words edited, on 10 sources
+        base = text()
+        for k in range(10):
+            words = base.split(" ")
+            for _ in range(3 if g >= 3 and k else 0):
+                at = draw.randrange(len(words))
+                words[at] = words[at].replace("v", "edited")
+            i = 100 * g + k
+            groups[i] = g
+            rows.append((i, " ".join(words), f"s{k}"))
+    footer = "all rights of this site are kept by the site"
+    rows += [(1000 + k, text() + "\n" + footer, f"s{k % 10}") for k in range(30)]      # a shared line only: all stay
+    frame(spark, rows).select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    was = {i: t for i, t, _ in rows}
+    stages = dict(corpus_pipeline.STAGES)
+    for name in ("line_dedup", "ngram_jaccard_join"):
+        docs = corpus_pipeline.materialize(stages[name](spark, docs, str(tmp_path)), name)
+    left = {r["doc_id"]: r["text"] for r in docs.collect()}
+    assert sorted(i for i in left if i < 1000) == [100 * g for g in range(6)]
+    assert all(left[100 * g] == was[100 * g] for g in range(6))
+    assert {i for i in left if i >= 1000} == set(range(1000, 1030))
+    assert sum(footer in t for t in left.values()) == 1
