@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,7 +32,7 @@ END_ID = 1
 REACH = 1 << 20         # tokens in one run of the dynamic programme; it ends with a document
 LONG = 128              # a stretch of more tokens without an end of a sentence may be cut inside
 STEP = 16               # at every so many tokens
-CACHED_WORDS = 300_000
+CACHED_WORDS = 400_000
 ENDS = re.compile("[.!?…。！？][\"'”’»)\\]]*$")
 
 
@@ -43,30 +44,68 @@ class Costs:
     window: float = 4.0
 
 
+#: Words of these characters alone are lowered and parted here as the tokenizer's own normal form does it.
+PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]*")
+PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
+
+
+def byte_letters() -> dict[int, str]:
+    """Letters beyond ASCII as the characters that stand for their UTF-8 bytes: printable ones for themselves, others from 256 on."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = {b: chr(256 + i) for i, b in enumerate(x for x in range(256) if x not in printable)}
+    return {c: "".join(others.get(b, chr(b)) for b in chr(c).encode()) for c in range(0xC0, 0x100)}
+
+
+class PartIds(dict):
+    """Token ids of parts as bytes, merged when they are first asked for."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.model, self.letters = model, byte_letters()
+
+    def __missing__(self, part: str) -> bytes:
+        spelled = part if part.isascii() else part.translate(self.letters)
+        found = self[part] = array("I", [t.id for t in self.model.tokenize(spelled)]).tobytes()
+        return found
+
+
 class WordIds:
-    """Token ids of words, each given to the tokenizer once.
+    """Token ids of words, by the tokenizer's merges.
 
-    The tokenizer treats what stands between ASCII white space by itself, so the
-    ids of a text are those of its words in turn.
+    The tokenizer treats what stands between ASCII white space by itself, and
+    inside it letters, digits and other signs; so the ids of a text are those of
+    its parts in turn, and each part goes through the merges once.  Words of
+    other scripts, and special tokens, go through the whole tokenizer.
     """
 
     def __init__(self, definition: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"      # Spark has a task per core already
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(definition)
-        self.known: dict[str, np.ndarray] = {}
+        self.parts = PartIds(self.tokenizer.model)
+        self.known: dict[str, bytes] = {}
+
+    def learn(self, words: list[str]) -> None:
+        """Ids of words not seen before."""
+        parts, find, others = self.parts, PARTS.findall, []
+        for w in words:
+            if PLAIN.fullmatch(w) and "<|" not in w:
+                self.known[w] = b"".join([parts[x] for x in find(w.lower())])
+            else:
+                others.append(w)
+        for start in range(0, len(others), 4096):
+            some = others[start:start + 4096]
+            for w, found in zip(some, self.tokenizer.encode_batch(some, add_special_tokens=False), strict=True):
+                self.known[w] = array("I", found.ids).tobytes()
 
     def __call__(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """(flat ids, number of ids of each word)."""
-        if len(self.known) > CACHED_WORDS:
-            self.known.clear()
-        new = [w for w in words if w not in self.known]
-        for start in range(0, len(new), 4096):
-            part = new[start:start + 4096]
-            for word, found in zip(part, self.tokenizer.encode_batch(part, add_special_tokens=False), strict=True):
-                self.known[word] = np.array(found.ids, dtype=np.uint32)
+        for cache in (self.parts, self.known):
+            if len(cache) > CACHED_WORDS:
+                cache.clear()
+        self.learn([w for w in words if w not in self.known])
         ids = [self.known[w] for w in words]
-        return np.concatenate(ids) if ids else np.zeros(0, np.uint32), np.array([len(x) for x in ids], dtype=np.int64)
+        return np.frombuffer(b"".join(ids), "<u4"), np.array([len(x) // 4 for x in ids], dtype=np.int64)
 
 
 def ramp(counts: np.ndarray) -> np.ndarray:
@@ -221,8 +260,8 @@ def pack(docs: DataFrame, definition: str, size: int = SIZE, end_id: int = END_I
             at, texts = 0, batch.column("text")
             size_of = pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)
             while at < batch.num_rows:
-                # Some 2 MB of text at a time, one document at least.
-                until = at + max(1, int(np.searchsorted(np.cumsum(size_of[at:]), 2 << 20)))
+                # Some 8 MB of text at a time, one document at least.
+                until = at + max(1, int(np.searchsorted(np.cumsum(size_of[at:]), 8 << 20)))
                 stream = read_stream(texts.slice(at, until - at), words_of, end_id)
                 held.append((batch.column("row").slice(at, until - at), stream))
                 waiting, at = waiting + len(stream.ids), until

@@ -3,13 +3,12 @@
 import hashlib
 import random
 import zlib
-from pathlib import Path
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cases import ODD, SCHEMA, frame
+from cases import ODD, frame
 from lotwise.llm import merkle, packing, queries_streams, runs
 
 COLUMNS = queries_streams.COLUMNS
@@ -152,6 +151,14 @@ def test_packing_of_odd_rows(spark, definition):
     assert sorted((str(r["row"]["doc_id"]), r["length"]) for r in twice) == [("5", 2), ("5", 2), ("None", 1)]
 
 
+def test_word_ids_equal_the_library(definition):
+    draw, signs = random.Random(9), "aZéÀßØ×÷ªº²ñÞþÿ09'`~<|>.,!-_\"#日İΣe\u0301Ǆ\x1c\x7f\xad"
+    words = ["".join(draw.choice(signs) for _ in range(draw.randint(1, 9))) for _ in range(3000)]
+    words += ["don't", "I'LL", "x'sy", ",'s", "'ſ", "<|endoftext|>", "a<|startoftext|>b", "ÀÉÎ", "L'ÉTÉ", "K", "x" * 3000, "é" * 500]
+    ids, counts = packing.WordIds(definition)(words)
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [x[:-1] for x in plain_ids(definition, words)]
+
+
 def test_cuts_cost_least():
     """The queue finds what trying all windows finds."""
     rnd, costs, size = random.Random(6), packing.Costs(3.0, 9.0, 1.0), 32
@@ -262,8 +269,3 @@ def test_runs_query_digests(spark, query):
             assert (r["start"], r["length"], r["period"], r["exponent_milli"]) == (s, m, q, 1000 * m // q)
         else:
             assert r["start"] is r["length"] is r["period"] is r["exponent_milli"] is None
-
-
-def test_tokenizer_is_read_from_a_parameter():
-    assert Path(__import__("public_tokenizers").path("word_bpe_49k.json")).exists()
-    assert SCHEMA and queries_streams.word_tokenizer().startswith("{")
