@@ -6,7 +6,9 @@ import numpy as np
 from pyspark.sql import DataFrame, functions as F
 
 from lotwise.operators.blocks import group_starts, map_groups  # noqa: F401
-from lotwise.session import materialize, materialize_counted
+from lotwise.session import join_lookup, materialize, materialize_counted
+
+HUB = 512               # rows of one key that go to one part of a join
 
 
 def in_block_pairs(rows: DataFrame, group: str, key: str, size: str, limit: int) -> DataFrame:
@@ -51,6 +53,21 @@ def roots_of_pairs(n: int, left: np.ndarray, right: np.ndarray) -> np.ndarray:
             return root
 
 
+def join_split(large: DataFrame, small: DataFrame, key: list[str], by: str) -> DataFrame:
+    """Inner join on the columns ``key``; ``small`` has one row per key with the ``rows`` of ``large`` that bear it.
+
+    A key of more than ``HUB`` rows is dealt to parts by the hash of ``by``, and its
+    row of ``small`` goes to each of them.  The parts are a table of at most one row
+    per ``HUB`` rows of ``large``.
+    """
+    parts = small.where(F.col("rows") > HUB).select(*key, F.ceil(F.col("rows") / HUB).alias("parts"))
+    if parts.isEmpty():
+        return large.join(small.drop("rows"), key)
+    dealt = join_lookup(large, parts, key).withColumn("part", F.pmod(F.xxhash64(by), F.coalesce("parts", F.lit(1)))).drop("parts")
+    sent = small.withColumn("part", F.explode(F.sequence(F.lit(0).cast("bigint"), F.ceil(F.col("rows") / HUB) - 1))).drop("rows")
+    return dealt.join(sent, [*key, "part"]).drop("part")
+
+
 def components(edges: DataFrame, name: str = "stars") -> DataFrame:
     """(id, root) of every node of ``edges`` (a, b): the least id that links lead to.
 
@@ -63,10 +80,10 @@ def components(edges: DataFrame, name: str = "stars") -> DataFrame:
     while n and not _stars_only(now):
         both = now.unionByName(now.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = now.select(F.col("b").alias("a"), F.col("b").alias("m")).unionByName(
-            now.select("a", F.col("b").alias("m"))).groupBy("a").agg(F.min("m").alias("m"))
-        large = materialize(both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), name)
-        small = large.groupBy("a").agg(F.min("b").alias("m"))
-        now = materialize(large.join(small, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
+            now.select("a", F.col("b").alias("m"))).groupBy("a").agg(F.min("m").alias("m"), F.count("*").alias("rows"))
+        large = materialize(join_split(both, least, ["a"], "b").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), name)
+        small = large.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("rows"))
+        now = materialize(join_split(large, small, ["a"], "b").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
                           .unionByName(small.select("a", F.col("m").alias("b"))).distinct(), name)
     return now.select(F.col("a").alias("id"), F.col("b").alias("root")).unionByName(
         now.select(F.col("b").alias("id"), F.col("b").alias("root"))).distinct()

@@ -11,13 +11,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lotwise.llm.folds import before_each, bound, in_chunks, spans
 from lotwise.llm.license_rules import BASE, WEIGHTS, Signature, compiled, signatures
 
 #: Words are runs of these once A-Z is lowered, so letters of either case; the others stand between words.
 INSIDE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 OTHERS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-SPANS = "array<struct<start:bigint,stop:bigint>>"
 
 
 def word_count(text: Column) -> Column:
@@ -57,15 +57,8 @@ def places(line: Column, pattern: Column) -> Column:
     """Spans, in words, of the pattern's matches in a padded text, leftmost first."""
     gaps, hits = F.split(line, pattern, -1), F.regexp_extract_all(line, pattern, F.lit(0))
     steps = F.zip_with(F.slice(gaps, F.lit(1), F.size(hits)), hits,
-                       lambda gap, hit: F.struct(padded_count(gap).alias("gap"), padded_count(hit).alias("hit")))
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(SPANS).alias("out"))
-
-    def add(acc, x):
-        begin, stop = acc["at"] + x["gap"], acc["at"] + x["gap"] + x["hit"]
-        span = F.array(F.struct(begin.alias("start"), stop.alias("stop")))
-        return F.struct(stop.alias("at"), F.concat(acc["out"], span).cast(SPANS).alias("out"))
-
-    return F.aggregate(steps, start, add, lambda acc: acc["out"])
+                       lambda gap, hit: F.struct(padded_count(gap).alias("gap"), padded_count(hit).alias("hit"), F.lit(True).alias("good")))
+    return spans(steps)
 
 
 def _table(rules: tuple[Signature, ...]) -> Column:
@@ -90,18 +83,33 @@ def suppressed(found: Column, priorities: tuple[int, ...]) -> Column:
     In order of start, longest first, whatever contains a detection comes before
     it, so the furthest stop per priority so far decides.
     """
-    kind = "array<struct<start:bigint,order:bigint,priority:int,number:int,stop:bigint,label:string>>"
-    start = F.struct(*[F.lit(-1).cast("bigint").alias(f"far{p}") for p in priorities], F.array().cast(kind).alias("out"))
+    out = "array<struct<start:bigint,order:bigint,priority:int,number:int,stop:bigint,label:string>>"
+    fars = [f"far{p}" for p in priorities]
+    kind = f"struct<{','.join(f'{x}:bigint' for x in fars)}>"
+    nowhere = F.struct(*[F.lit(-1).cast("bigint").alias(x) for x in fars])
+
+    def further(far, d):
+        return F.struct(*[F.when(d["priority"] == p, F.greatest(far[x], d["stop"])).otherwise(far[x]).alias(x)
+                          for p, x in zip(priorities, fars, strict=True)])
+
+    def furthest(one, other):
+        return F.struct(*[F.greatest(one[x], other[x]).alias(x) for x in fars])
 
     def add(acc, d):
         inside = F.lit(False)
-        for p in priorities:
-            inside = inside | ((d["priority"] >= p) & (acc[f"far{p}"] >= d["stop"]))
-        far = [F.when(d["priority"] == p, F.greatest(acc[f"far{p}"], d["stop"])).otherwise(acc[f"far{p}"]).alias(f"far{p}")
-               for p in priorities]
-        return F.struct(*far, F.when(inside, acc["out"]).otherwise(F.concat(acc["out"], F.array(d))).cast(kind).alias("out"))
+        for p, x in zip(priorities, fars, strict=True):
+            inside = inside | ((d["priority"] >= p) & (acc["far"][x] >= d["stop"]))
+        return F.struct(further(acc["far"], d).alias("far"),
+                        F.when(inside, acc["out"]).otherwise(F.concat(acc["out"], F.array(d))).cast(out).alias("out"))
+
+    def of_chunk(chunk, far):
+        return F.aggregate(chunk, F.struct(far.alias("far"), F.array().cast(out).alias("out")), add, lambda acc: acc["out"])
+
+    def all_chunks(chunks):
+        reached = F.transform(chunks, lambda c: F.aggregate(c, nowhere, further))
+        return F.flatten(F.zip_with(chunks, before_each(reached, nowhere, kind, furthest), of_chunk))
 
-    return F.aggregate(found, start, add, lambda acc: acc["out"])
+    return bound(in_chunks(found), lambda chunks: F.when(F.size(chunks) == 1, of_chunk(F.element_at(chunks, 1), nowhere)).otherwise(all_chunks(chunks)))
 
 
 def scan_licenses(docs: DataFrame, rules: tuple[Signature, ...] | None = None, text_column: str = "text",
@@ -113,14 +121,15 @@ def scan_licenses(docs: DataFrame, rules: tuple[Signature, ...] | None = None, t
 
     Null and empty texts have no words and no detections; equal rows have equal
     results; an empty table gives an empty one.  Other columns pass unchanged
-    inside the struct ``row``.
+    inside the struct ``row``, also those with a dot in their name.  Time grows
+    with the length of a text and with its detections, however many there are.
     """
     rules = signatures() if rules is None else rules
     priorities = tuple(sorted({r.priority for r in rules}))
     keep = [c for c in docs.columns if c != text_column] if keep is None else keep
     text = F.coalesce(F.col(text_column), F.lit(""))
     gate = has_keyword(text, {r.keyword for r in rules} | {max(p.split(), key=len) for p in BASE})
-    rows = docs.select(F.struct(*keep).alias("row"), word_count(text).alias("n_words"),
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), word_count(text).alias("n_words"),
                        F.when(gate, padded(text)).alias("line"))
     line = F.col("line")
     none_base = F.array().cast("array<struct<label:string,start:bigint>>")

@@ -11,7 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lotwise.session import materialize
+from lotwise.llm.groups import join_split
+from lotwise.session import join_lookup, materialize
 
 MIN_SITES = 8
 LOG_K = 12
@@ -46,53 +47,59 @@ def boilerplate(keys: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
     return materialize(sure.select("a", "b", "holder").unionByName(counted.select("a", "b", "holder")), "lines-gone")
 
 
+def copied(keys: DataFrame) -> DataFrame:
+    """(rk, copied): the characters of each text in lines that stand on two sites or more, by ``keys`` (rk, site, place, n, a, b)."""
+    shared = keys.groupBy("a", "b").agg(F.min("site").alias("one"), F.max("site").alias("other"), F.count("*").alias("rows")).where("one <> other")
+    found = join_split(keys.select("rk", "place", "n", "a", "b"), shared.select("a", "b", "rows"), ["a", "b"], "rk")
+    # Rows alike in id and text have one key.
+    return found.groupBy("rk", "place").agg(F.first("n").alias("n")).groupBy("rk").agg(F.sum("n").alias("copied"))
+
+
 def drop_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, id_column: str = "doc_id",
-                     site_column: str = "source", text_column: str = "text") -> DataFrame:
+                     site_column: str = "source", text_column: str = "text", spared: float | None = None) -> DataFrame:
     """(row struct, lines, kept lines) of every row of ``docs``; ``row`` is the row as it came.
 
+    With ``spared`` a text of which more than this share of the characters is in
+    lines of two sites or more is a copy of other texts rather than a page with
+    boilerplate, and keeps all lines.
+
     * Null text stays null (no lines); empty text has one blank line.  Blank
       lines are never counted and never removed.
     * A null site counts for no site.  Null ids hold a line only if all its ids
       are null; then the line stays everywhere.
     * Rows alike in id and text are treated alike; all rows stay, even if no
       line is left to them.
+    * A very long text, or one of very many lines, takes time in proportion.
     * An empty table gives an empty one; other columns travel in the struct.
     """
     # The struct alone carries the text through the join below.
     rows = docs.select(F.struct("*").alias("row"), F.col(id_column).alias("id"), F.col(site_column).alias("site"),
                        F.xxhash64(F.col(id_column), F.col(text_column)).alias("rk"))
     lines = F.split(F.col(f"row.`{text_column}`"), "\n", -1)
-    found = F.array_distinct(F.transform(lines, line_key))
-    keys = materialize(rows.select("rk", "id", "site", F.explode(F.filter(found, lambda k: k.isNotNull())).alias("k"))
-                       .select("rk", "id", "site", "k.a", "k.b"), "lines-keys")
+    marked = F.transform(lines, lambda x: F.struct(line_key(x).alias("k"), F.length(x).alias("n")))
+    keys = materialize(rows.select("rk", "id", "site", F.posexplode(marked).alias("place", "line"))
+                       .where("line.k is not null").select("rk", "id", "site", "place", "line.n", "line.k.a", "line.k.b"), "lines-keys")
     gone = boilerplate(keys, min_sites)
-    hit = (keys.join(gone, ["a", "b"]).where(~F.col("id").eqNullSafe(F.col("holder")))
-           .groupBy("rk").agg(F.collect_set(F.struct("a", "b")).alias("gone")))
-    joined = rows.select("row", "rk").join(hit, "rk", "left")
-    kept = F.when(F.col("gone").isNull(), lines).otherwise(
-        F.filter(lines, lambda x: ~F.coalesce(F.array_contains(F.col("gone"), line_key(x)), F.lit(False))))
-    return joined.select("row", lines.alias("lines"), kept.alias("kept"))
-
-
-def without_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES) -> DataFrame:
-    """``docs`` with the kept lines as text and, where there is one, their length as n_chars."""
-    out = drop_boilerplate(docs, min_sites).withColumn("now", F.array_join("kept", "\n"))
+    # A line on every page is one key: the lines that go are a small table, or salted.
+    hit = (join_lookup(keys, gone, ["a", "b"], how="inner").where(~F.col("id").eqNullSafe(F.col("holder")))
+           .groupBy("rk").agg(F.sort_array(F.collect_set("place")).alias("gone")))
+    if spared is not None:
+        hit = hit.join(copied(keys), "rk")
+        gone = F.when(F.col("copied") <= spared * F.length(F.col(f"row.`{text_column}`")), F.col("gone"))
+    else:
+        gone = F.col("gone")
+    joined = rows.select("row", "rk").join(hit, "rk", "left").select("row", lines.alias("lines"), gone.alias("gone"))
+    # What lies between the places that go, in one pass over the lines.
+    starts = F.concat(F.array(F.lit(0)), F.transform("gone", lambda p: p + 1))
+    between = F.zip_with(starts, F.concat("gone", F.array(F.size("lines"))), lambda a, b: F.slice("lines", a + 1, b - a))
+    return joined.select("row", "lines", F.when(F.col("gone").isNull(), F.col("lines")).otherwise(F.flatten(between)).alias("kept"))
+
+
+def without_boilerplate(docs: DataFrame, min_sites: int = MIN_SITES, spared: float | None = None) -> DataFrame:
+    """``docs`` with the kept lines as text and, where there is one, their length as n_chars.
+
+    Null texts stay null; empty and very long texts are as in ``drop_boilerplate``.
+    """
+    out = drop_boilerplate(docs, min_sites, spared=spared).withColumn("now", F.array_join("kept", "\n"))
     fresh = {"text": F.col("now"), "n_chars": F.length("now").cast("bigint")}
     return out.select(*[fresh[c].alias(c) if c in fresh else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
-
-
-def texts_before(docs: DataFrame, before: DataFrame) -> DataFrame:
-    """(doc_id, tk, text) of the rows of ``docs`` that lost lines: the text they had in ``before``.
-
-    ``tk`` is the hash of the present text, null taken as empty.  Rows are found
-    by their id; where ids repeat, texts that lack a line of the row are not its
-    own.  Rows without an id, or unknown in ``before``, have no earlier text.
-    """
-    text = F.coalesce("text", F.lit(""))
-    words = F.transform(F.filter(F.split(text, "\n", -1), lambda x: line_key(x).isNotNull()), lambda x: F.xxhash64(x))
-    own = docs.select("doc_id", F.xxhash64(text).alias("tk"), words.alias("left"))
-    was = before.select("doc_id", F.xxhash64(text).alias("tk"))
-    lost = materialize(own.where("doc_id is not null").join(was, ["doc_id", "tk"], "left_anti")
-                       .groupBy("doc_id", "tk").agg(F.first("left").alias("left")), "lines-lost")
-    found = before.select("doc_id", "text").join(lost, "doc_id").where(F.size(F.array_except("left", words)) == 0)
-    return materialize(found.select("doc_id", "tk", "text"), "lines-before")

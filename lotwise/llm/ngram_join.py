@@ -384,41 +384,16 @@ def jaccard_join(docs: DataFrame, similarity: float = SIMILARITY, recall: float
         "component")
 
 
-def one_per_group(docs: DataFrame, similarity: float = SIMILARITY, earlier: DataFrame | None = None) -> DataFrame:
+def one_per_group(docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """``docs`` with one row of each linked group, the one of least id, and all rows without words.
 
-    ``earlier`` (doc_id, tk, text) holds former texts of rows, named by id and
-    hash of the present text.  A row then belongs to all groups that any of its
-    texts belongs to, and these groups are one.  Of such a group the row of
-    least id that has words stays, or the one of least id if none has any.
+    Null and empty texts stay, rows alike in id and text are one, and texts of
+    any length are compared whole.  An empty table gives an empty one.
     """
     rows = docs.select(F.struct("*").alias("row"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("tk"))
-    if earlier is None:
-        marked = jaccard_join(docs, similarity, keep=["doc_id"])
-        kept = marked.where("kept").groupBy(F.col("row.doc_id").alias("_id"), "tk").agg(F.lit(1).alias("_one"))
-    else:
-        kept = _kept_by_all_texts(rows, earlier, similarity)
+    marked = jaccard_join(docs, similarity, keep=["doc_id"])
+    kept = marked.where("kept").groupBy(F.col("row.doc_id").alias("_id"), "tk").agg(F.lit(1).alias("_one"))
     stay = rows.join(kept, rows["row.doc_id"].eqNullSafe(kept["_id"]) & (rows["tk"] == kept["tk"]), "left_semi")
     # Rows alike in id and text are one document.
     once = stay.groupBy(F.col("row.doc_id").alias("_id"), "tk").agg(F.first("row").alias("row"))
     return once.select("row.*")
-
-
-def _kept_by_all_texts(rows: DataFrame, earlier: DataFrame, similarity: float) -> DataFrame:
-    """(_id, tk) of the rows that stay when present and earlier texts both link."""
-    texts = rows.select(F.col("row.doc_id").alias("doc_id"), F.col("tk").alias("of"), F.col("row.text").alias("text"), F.lit(True).alias("present"))
-    texts = texts.unionByName(earlier.select("doc_id", F.col("tk").alias("of"), "text", F.lit(False).alias("present")))
-    marked = jaccard_join(texts, similarity, keep=["doc_id", "of", "present"])
-    found = F.col("component").isNotNull()
-    held = materialize(
-        marked.select("row.*", "component").groupBy("doc_id", "of").agg(
-            F.min("component").alias("group"), F.collect_set("component").alias("groups"),
-            F.max(F.col("present") & found).alias("words")), "ngram-held")
-    # Most rows have one group; the others say which groups are one.
-    roots = components(held.where(F.size("groups") > 1).select(F.col("group").alias("a"), F.explode("groups").alias("b")), "ngram-groups")
-    row = F.struct(~F.col("words"), F.col("doc_id").isNull(), F.col("doc_id").alias("id"), F.col("of").alias("tk"))
-    least = held.where("group is not null").groupBy("group").agg(F.min(row).alias("least"))
-    one = (least.join(roots.withColumnRenamed("id", "group"), "group", "left")
-           .groupBy(F.coalesce("root", "group").alias("root")).agg(F.min("least").alias("least")))
-    alone = held.where("group is null").select(F.col("doc_id").alias("_id"), F.col("of").alias("tk"))
-    return materialize(one.select(F.col("least.id").alias("_id"), F.col("least.tk").alias("tk")).unionByName(alone), "ngram-kept")

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-SPANS = "array<struct<start:bigint,stop:bigint>>"
+from lotwise.llm.folds import SPANS, spans
 
 
 @dataclass(frozen=True)
@@ -62,18 +62,9 @@ def spans_of(text: Column, rule: Rule) -> Column:
     hits = F.regexp_extract_all(text, pattern, F.lit(0))
     valued = F.regexp_extract_all(text, pattern, F.lit(rule.group)) if rule.group else hits
     steps = F.zip_with(F.slice(gaps, F.lit(1), F.size(hits)), F.arrays_zip(hits.alias("hit"), valued.alias("value")),
-                       lambda gap, h: F.struct(F.length(gap).alias("gap"), F.length(h["hit"]).alias("hit"),
-                                               F.length(h["value"]).alias("value")))
-    start = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(SPANS).alias("out"))
-
-    def add(acc, x):
-        begin = acc["at"] + x["gap"]
-        stop = begin + x["hit"]
-        span = F.array(F.struct(begin.alias("start"), stop.alias("stop")))
-        out = F.when(x["value"] >= rule.least, F.concat(acc["out"], span)).otherwise(acc["out"])
-        return F.struct(stop.cast("bigint").alias("at"), out.cast(SPANS).alias("out"))
-
-    found = F.aggregate(steps, start, add, lambda acc: acc["out"])
+                       lambda gap, h: F.struct(F.length(gap).cast("bigint").alias("gap"), F.length(h["hit"]).cast("bigint").alias("hit"),
+                                               (F.length(h["value"]) >= rule.least).alias("good")))
+    found = spans(steps)
     return F.when(text.rlike(rule.pattern), found).otherwise(F.array().cast(SPANS))
 
 
@@ -130,7 +121,9 @@ def findings(versions: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = R
     large side, which adaptive execution splits.
 
     Null and empty texts have no findings, equal texts have equal findings; an
-    empty table gives an empty one; other columns travel in the struct.
+    empty table gives an empty one; other columns travel in the struct, also
+    those with a dot in their name.  Time grows with the length of a text and
+    with its matches, however many there are.
     """
     text = F.coalesce(F.col(text_column), F.lit(""))
     number = F.create_map(*[x for i, r in enumerate(rules) for x in (F.lit(r.name), F.lit(i))])
@@ -141,7 +134,7 @@ def findings(versions: DataFrame, ledger: DataFrame, rules: tuple[Rule, ...] = R
            .groupBy("blob").agg(F.sort_array(F.collect_set(F.struct(
                F.col("s.start").alias("start"), number[F.col("rule")].alias("number"), kind[F.col("rule")].alias("kind"),
                F.col("s.stop").alias("stop")))).alias("found")))
-    rows = versions.select(F.struct(*[c for c in versions.columns if c != text_column]).alias("row"),
+    rows = versions.select(F.struct(*[F.col(f"`{c}`") for c in versions.columns if c != text_column]).alias("row"),
                            F.sha2(text, 256).alias("blob"))
     empty = F.array().cast("array<struct<start:bigint,number:int,kind:string,stop:bigint>>")
     return rows.join(hit, "blob", "left").select("row", "blob", F.coalesce("found", empty).alias("found"))

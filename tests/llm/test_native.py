@@ -2,9 +2,11 @@
 
 import hashlib
 import re
+import time
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from lotwise.llm import licenses, lines, mixing, secrets
 from lotwise.llm.license_rules import BASE, Signature, compiled, literal, signatures
@@ -166,3 +168,35 @@ def test_lines(spark):
     assert got == want and out.columns == docs.columns
     assert all(r["n_chars"] == len(r["text"]) for r in out.collect() if r["text"] is not None)
     assert lines.without_boilerplate(frame(spark, [])).count() == 0
+
+
+def test_very_many_matches_and_lines(spark):
+    """Work grows in proportion: two hundred thousand matches, and a hundred thousand lines of which most go."""
+    keys = " ".join(f"token={i:06d}" for i in range(200_000))
+    times = []
+    for text in (keys[:len(keys) // 2], keys):
+        start = time.perf_counter()
+        found = secrets.findings(frame(spark, [(1, text, "s")]), secrets.scan(frame(spark, [(1, text, "s")]), None))
+        times.append((found.select(F.size("found")).first()[0], time.perf_counter() - start))
+    assert [n for n, _ in times] == [100_000, 200_000] and times[1][1] < 4 * times[0][1] + 5
+    got = licenses.scan_licenses(frame(spark, [(1, "mit license, " * 100_000, "s")])).select(F.size("base"), F.size("kept"), "n_words").first()
+    assert got[0] == 100_000 and got[1] > 0 and got[2] == 200_000
+    body = "\n".join(f"line {i} of a list" for i in range(100_000))
+    out = lines.without_boilerplate(frame(spark, [(i, f"head {i}\n" + body, f"s{i}") for i in range(lines.MIN_SITES)]))
+    left = {r["doc_id"]: r["text"] for r in out.collect()}
+    assert left[0] == "head 0\n" + body and all(left[i] == f"head {i}" for i in range(1, lines.MIN_SITES))
+
+
+def test_spared_copies(spark):
+    body = "\n".join(f"line {i} of a text that is copied" for i in range(10))
+    rows = [(i, body, f"s{i}") for i in range(9)] + [(20 + i, f"{i} own words " * 40 + "\nline 3 of a text that is copied", f"s{i}") for i in range(9)]
+    rows += [(40, None, "s"), (41, "", "s")]
+    left = {r["doc_id"]: r["text"] for r in lines.without_boilerplate(frame(spark, rows), spared=1 / 3).collect()}
+    assert all(left[i] == body for i in range(9)) and all(left[20 + i] == f"{i} own words " * 40 for i in range(9))
+    assert left[40] is None and left[41] == ""
+
+
+def test_columns_with_dots(spark):
+    df = frame(spark, [(1, "token=abcdefgh under the mit license", "s")]).withColumn("a.b", F.lit(7))
+    assert secrets.findings(df, secrets.scan(df, None)).first()["row"]["a.b"] == 7
+    assert licenses.scan_licenses(df).first()["row"]["a.b"] == 7

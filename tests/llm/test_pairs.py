@@ -168,3 +168,21 @@ def test_sign_code(spark):
     rows = [(1, [1.0, -1.0, 0.0]), (2, None), (3, []), (4, [float("nan"), 1.0]), (5, [None, 1.0]), (6, [1.0] * 64), (7, [-1.0] * 63 + [1.0, 5.0])]
     got = {r["id"]: r["code"] for r in spark.createDataFrame(rows, "id int, v array<double>").select("id", hamming.sign_code(F.col("v")).alias("code")).collect()}
     assert got == {1: (0b101 << 61) - 2**64, 2: None, 3: None, 4: None, 5: None, 6: -1, 7: 1}
+
+
+def test_components_with_a_hub(spark):
+    from lotwise.llm import groups
+    star = [(0, i) for i in range(1, 10_000)] + [(20_000 + i, 20_001 + i) for i in range(50)]
+    edges = spark.createDataFrame(star, "a bigint, b bigint").repartition(8)
+    root = {r["id"]: r["root"] for r in groups.components(edges).collect()}
+    assert len(root) == 10_051 and {root[i] for i in range(10_000)} == {0} and {root[i] for i in range(20_000, 20_051)} == {20_000}
+    ends = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    dealt = groups.join_split(ends, ends.groupBy("a").agg(F.min("b").alias("m"), F.count("*").alias("rows")), ["a"], "b")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        sizes = [r["n"] for r in dealt.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert sum(sizes) == 2 * len(star) and max(sizes) < 3 * sum(sizes) / 4

@@ -48,8 +48,11 @@ def plain(rows):
                 holder[bare] = min(holder.get(bare, i), i)
     gone = {x for x, s in sites.items() if x and len(s - {None}) >= lines.MIN_SITES}
     assert gone
-    rows = [(i, None if t is None else "\n".join(x for x in t.split("\n") if x.strip(" \t\r") not in gone or holder[x.strip(" \t\r")] == i), s)
-            for i, t, s in rows]
+    def left(i, t):
+        now = "\n".join(x for x in t.split("\n") if x.strip(" \t\r") not in gone or holder[x.strip(" \t\r")] == i)
+        shared = sum(len(x) for x in t.split("\n") if x.strip(" \t\r") and len(sites[x.strip(" \t\r")] - {None}) > 1)
+        return t if shared > corpus_pipeline.SPARED * len(t) else now
+    rows = [(i, None if t is None else left(i, t), s) for i, t, s in rows]
     return [r for r, (_, root) in zip(rows, all_pairs(rows), strict=True) if r[0] == root or not (r[1] or "").split()]
 
 
@@ -116,3 +119,9 @@ def test_copies_on_many_sources(spark, tmp_path):
     assert all(left[100 * g] == was[100 * g] for g in range(6))
     assert {i for i in left if i >= 1000} == set(range(1000, 1030))
     assert sum(footer in t for t in left.values()) == 1
+
+
+def test_empty_documents(spark, tmp_path):
+    frame(spark, []).select("doc_id", "text", "lang", "source", "n_chars").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
