@@ -16,6 +16,9 @@ from lotwise.llm.queries_models import tokenizer_path
 from lotwise.llm.registry import table
 from lotwise.session import materialize, ship_package
 
+#: Share of its characters in lines of other sites above which a text is left to the near-duplicate stage.
+SPARED = 1 / 3
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -37,18 +40,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_boilerplate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines on many sites stay in one document only; all rows stay."""
-    return lines.without_boilerplate(docs)
+    """Lines on many sites stay in one document only; all rows stay.
+
+    A text of which more than a third is found on other sites is a copy, not a page
+    with boilerplate.  It stays whole, so that the next stage sees it as it came.
+    """
+    return lines.without_boilerplate(docs, spared=SPARED)
 
 
 @shipped
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates stays.
-
-    Copies on many sites have lost their lines to the stage before, so rows are
-    near if their texts are, as they are now or as they came.
-    """
-    return ngram_join.one_per_group(docs, earlier=lines.texts_before(docs, table(spark, sf_dir, "documents")))
+    """One document of each group of near duplicates stays."""
+    return ngram_join.one_per_group(docs)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
