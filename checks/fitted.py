@@ -6,7 +6,7 @@ from checks import query
 from checks import fixture as fx
 from checks.fixture import CLEAN, HASH, L, SPLIT, listings, near, sql_near
 from checks.profile import cleaned
-from lotwise.operators import encoders as enc, impute
+from lotwise.operators import encoders as enc, impute, strata
 from lotwise.session import materialize
 
 c = F.col
@@ -27,6 +27,12 @@ def split(spark, sf):
     return enc.hash_split(listings(spark, sf), "idx").select("idx", "split")
 
 
+@query("stratified_split_i18", f"""{L}, h AS (SELECT idx, modelo, cast('0x' || substr(md5(concat(idx, '|42')), 1, 15) as bigint) AS h FROM listings),
+  r AS (SELECT idx, modelo, row_number() OVER (PARTITION BY modelo ORDER BY h) AS rn, count(*) OVER (PARTITION BY modelo) AS n FROM h) SELECT idx, modelo, rn <= ceil(0.2::DOUBLE * n) AS is_test FROM r""")
+def split_strata(spark, sf):
+    return strata.stratified_split(listings(spark, sf).select("idx", "modelo"), "idx", ["modelo"])
+
+
 @query("exact_split_i18", f"""{L}, h AS (SELECT idx, cast('0x' || substr(md5(concat(idx, '|42')), 1, 15) as bigint) AS h FROM listings),
   r AS (SELECT idx, row_number() OVER (ORDER BY h) AS rn, count(*) OVER () AS n FROM h) SELECT idx, rn <= ceil(0.2 * n) AS is_test FROM r""")
 def split_exact(spark, sf):

@@ -6,7 +6,7 @@ from pyspark.sql.types import StructType
 from checks import query
 from checks.fixture import CATALOGUE_TEXT, L, catalogue, listings, table
 from lotwise.operators import stats
-from lotwise.sources import cars, files, labels, pages, runs
+from lotwise.sources import cars, files, infer, labels, pages, runs
 from lotwise.session import scratch_path
 
 c = F.col
@@ -21,6 +21,40 @@ def csv_round_trip(spark, sf):
         "idx string, marca string, version string, kilometros string, precio double, color string, camara double, anio bigint, descripcion string"))
 
 
+def untyped_files(spark, sf):
+    """Order lines in CSV files of two forms, with other columns in another order."""
+    path = scratch_path(spark, "untyped")
+    rows = table(spark, sf, "lineitem")
+    mixed = F.when(c("l_orderkey") % 2 == 0, c("l_linenumber").cast("string")).otherwise(c("l_returnflag"))
+    amount = F.when(c("l_orderkey") % 5 == 0, F.lit("N/A")).otherwise(c("l_quantity").cast("double").cast("string"))
+    one = rows.where("l_linenumber <= 3").select(
+        c("l_orderkey").alias("order"), c("l_linenumber").alias("line"), c("l_partkey").alias("part"), amount.alias("amount"), mixed.alias("mixed"))
+    other = rows.where("l_linenumber > 3").select(
+        amount.alias("amount"), c("l_linenumber").alias("line"), c("l_orderkey").alias("order"), c("l_partkey").alias("part"),
+        F.when(c("l_linestatus") == "O", "True").otherwise("False").alias("open, now"), F.lit("nan").alias("nothing"))
+    for part in (one, other):
+        part.write.mode("append").option("header", True).csv(path)
+    return path
+
+
+_UNTYPED = """WITH t AS (SELECT l_orderkey AS o, l_linenumber AS n, l_partkey AS p, CASE WHEN l_orderkey % 5 <> 0 THEN CAST(l_quantity AS DOUBLE) END AS amount,
+  CASE WHEN l_linenumber <= 3 THEN CASE WHEN l_orderkey % 2 = 0 THEN CAST(l_linenumber AS VARCHAR) ELSE l_returnflag END END AS mixed,
+  CASE WHEN l_linenumber > 3 THEN l_linestatus = 'O' END AS now FROM lineitem)"""
+
+
+@query("csv_types_a1", f"""{_UNTYPED} SELECT CAST(o AS BIGINT) AS "order", CAST(n AS BIGINT) AS line, CAST(p AS BIGINT) AS part, amount, mixed, now AS open_now, CAST(NULL AS DOUBLE) AS nothing FROM t""")
+def csv_types(spark, sf):
+    return infer.infer_csv(spark, untyped_files(spark, sf)).withColumnRenamed("open, now", "open_now")
+
+
+@query("csv_column_types_a1", f"""{_UNTYPED}, k AS (SELECT count(*) AS rows, count(amount) AS a, count(mixed) AS m, count(now) AS w FROM t)
+  SELECT "column", type, filled, rows - filled AS missing FROM (SELECT 'order' AS "column", 'bigint' AS type, rows AS filled, rows FROM k UNION ALL SELECT 'line', 'bigint', rows, rows FROM k
+  UNION ALL SELECT 'part', 'bigint', rows, rows FROM k UNION ALL SELECT 'amount', 'double', a, rows FROM k UNION ALL SELECT 'mixed', 'string', m, rows FROM k
+  UNION ALL SELECT 'open, now', 'boolean', w, rows FROM k UNION ALL SELECT 'nothing', 'double', CAST(0 AS BIGINT), rows FROM k) u""")
+def csv_column_types(spark, sf):
+    return infer.found_types(infer.read_text_columns(spark, untyped_files(spark, sf))).drop("place")
+
+
 @query("catalogue_scan_a2", f"WITH catalogue AS ({CATALOGUE_TEXT}) SELECT brand, model, version, CAST(length(version) AS BIGINT) AS quantity FROM catalogue WHERE version IS NOT NULL")
 def catalogue_scan(spark, sf):
     path = scratch_path(spark, "catalogue")
