@@ -26,7 +26,7 @@ TOP = 10
 
 
 @query("op10_exact_top_k", f"""
-with c as (select vec_id, array_to_string(list_transform(embedding[1:64], lambda x: case when x >= 0 then '1' else '0' end), '') code
+with c as (select vec_id, array_to_string(list_transform(embedding, lambda x: case when x >= 0 then '1' else '0' end), '') code
    from embeddings where embedding is not null),
 p as (select q.vec_id query_id, c.vec_id neighbour_id, cast(hamming(q.code, c.code) as int) distance
    from c q join c on q.vec_id <> c.vec_id where q.vec_id % 100 = 0),

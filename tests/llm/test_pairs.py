@@ -146,13 +146,31 @@ def test_bucket_recall():
     assert np.mean([bool(set(p) & set(q)) for p, q in zip(a.tolist(), b.tolist())]) >= 0.95
 
 
+def words_of(df):
+    return df.withColumn("code", F.when(F.col("code").isNotNull(), F.array("code")))
+
+
+def test_top_k_of_all_components(spark):
+    """Vectors of 130 components, over two words; some of another length, which are no neighbours."""
+    draw = np.random.default_rng(11)
+    near = draw.normal(size=(20, 130))
+    vectors_ = np.concatenate([near[draw.integers(0, 20, 300)] + draw.normal(size=(300, 130)) * 0.4, draw.normal(size=(100, 130))])
+    rows = [(i, v.tolist()) for i, v in enumerate(vectors_)] + [(1000 + i, v[:70].tolist()) for i, v in enumerate(vectors_[:30])]
+    coded = spark.createDataFrame(rows, "id bigint, v array<double>").select("id", hamming.sign_code(F.col("v")).alias("code"))
+    out = hamming.top_k(coded, coded.where("id % 20 = 0"), 7, block_codes=60, pack_queries=5).collect()
+    signs = {i: np.array(v) >= 0 for i, v in rows}
+    for q in (i for i in signs if i % 20 == 0):
+        want = sorted((int((signs[q] != s).sum()), i) for i, s in signs.items() if i != q and len(s) == len(signs[q]))[:7]
+        assert [(r["distance"], r["neighbour_id"]) for r in sorted((r for r in out if r["query_id"] == q), key=lambda r: r["rank"])] == want
+
+
 def test_top_k(spark):
     draw = np.random.default_rng(6)
     codes = draw.integers(-2**63, 2**63 - 1, 500)
     codes[100:160] = codes[100]                 # more equal codes than k
     codes[200:260] = codes[200] ^ (1 << draw.integers(0, 63, 60))
     rows = [(i, int(c)) for i, c in enumerate(codes)] + [(7, int(codes[7])), (600, None), (None, 5)]
-    frame_ = spark.createDataFrame(rows, "id bigint, code bigint").withColumn("rank", F.lit(0))
+    frame_ = words_of(spark.createDataFrame(rows, "id bigint, code bigint")).withColumn("rank", F.lit(0))
     asked = frame_.where("id % 20 = 0 or id is null or code is null")
     for block, pack in ((10_000, 10_000), (90, 7)):
         out = hamming.top_k(frame_, asked, 10, block_codes=block, pack_queries=pack).collect()
@@ -160,14 +178,14 @@ def test_top_k(spark):
             want = sorted((bin((int(codes[q]) ^ int(c)) & (2**64 - 1)).count("1"), i) for i, c in enumerate(codes) if i != q)[:10]
             assert [(r["distance"], r["neighbour_id"]) for r in sorted((r for r in out if r["query_id"] == q), key=lambda r: r["rank"])] == want
         assert {r["query_id"] for r in out} == set(range(0, 500, 20))
-    few = spark.createDataFrame([(1, 1), (2, 3)], "id bigint, code bigint")
+    few = words_of(spark.createDataFrame([(1, 1), (2, 3)], "id bigint, code bigint"))
     assert hamming.top_k(few, few, 10).count() == 2 and hamming.top_k(few.limit(0), few, 3).count() == 0
 
 
 def test_sign_code(spark):
     rows = [(1, [1.0, -1.0, 0.0]), (2, None), (3, []), (4, [float("nan"), 1.0]), (5, [None, 1.0]), (6, [1.0] * 64), (7, [-1.0] * 63 + [1.0, 5.0])]
     got = {r["id"]: r["code"] for r in spark.createDataFrame(rows, "id int, v array<double>").select("id", hamming.sign_code(F.col("v")).alias("code")).collect()}
-    assert got == {1: (0b101 << 61) - 2**64, 2: None, 3: None, 4: None, 5: None, 6: -1, 7: 1}
+    assert got == {1: [(0b101 << 61) - 2**64], 2: None, 3: None, 4: None, 5: None, 6: [-1], 7: [1, -2**63]}
 
 
 def test_components_with_a_hub(spark):
