@@ -5,14 +5,16 @@ from pyspark.sql import functions as F
 from checks import query
 from checks.fixture import CLEAN, SPLIT, catalogue, near, plain, raw, sql_near, table
 from checks.fitted import parts
-from lotwise import fixed_values as fx
-from lotwise.operators import embed, encoders as enc, impute, stats
+from lotwise import fixed_values as fixed
+from lotwise.operators import boosting, embed, encoders as enc, impute, stats
+from lotwise.operators.relational import feature_columns
 from lotwise.plans import train as tr
 from lotwise.plans.clean import clean_listings
 from lotwise.plans.transform import feature_pipeline, fit_features
 from lotwise.session import materialize, scratch_path
 
 c = F.col
+HALVED_SETS, HALVED_TREES = 27, 81
 BASE = ["marca", "modelo", "version", "motor", "cv", "kilometros", "anio", "turbo", "camara"]
 
 
@@ -39,10 +41,6 @@ def rounded(df):
     return df.select(*[F.round(x, 4).alias(x) if t == "double" else c(x) for x, t in df.dtypes])
 
 
-def boosted_trees():
-    return tr.boosted_trees("baseline")
-
-
 @query("feature_pipeline_i23")
 def pipeline(spark, sf):
     listed = materialize(enc.hash_split(clean_listings(raw(spark, sf)), "idx"), "clean")
@@ -54,10 +52,24 @@ def pipeline(spark, sf):
     return rounded(out.toDF(*[x.replace(" ", "_").replace("$", "S") for x in out.columns]))
 
 
+def sets_named(*names):
+    return {n: tr.boosting_set(n) for n in names or fixed.BOOSTED_SETS}
+
+
 @query("boosted_trees_j1_j12")
 def boosted(spark, sf):
-    split = pieces(features(spark, sf))
-    return rounded(tr.evaluate(tr.PriceModel.fit(split["train"], boosted_trees(), "precio"), split))
+    """All four parameter sets in full, grown together."""
+    found, _ = tr.evaluate_sets(pieces(features(spark, sf)), sets_named(), "precio")
+    return rounded(found)
+
+
+@query("staged_errors_j7")
+def staged(spark, sf):
+    """Error on every part after each tree of the script's set."""
+    df = features(spark, sf)
+    used = feature_columns(df.drop("idx", "split", "descripcion"), "precio")
+    model, = boosting.fit_boosted(df.where("split = 'train'"), "precio", used, [tr.boosting_set("script")], key="idx")
+    return rounded(model.staged_errors(df, "split"))
 
 
 @query("linear_model_j2")
@@ -76,7 +88,11 @@ def log_target(spark, sf):
 @query("model_comparison_j3_j4")
 def comparison(spark, sf):
     split = pieces(features(spark, sf), ("train", "validation"))
-    return rounded(tr.compare_models(split, {"linear": tr.linear_model(), "forest": tr.random_forest(depth=12), "boosted": boosted_trees()}, "precio"))
+    return rounded(tr.compare_models(split, {"linear": tr.linear_model(), "forest": tr.random_forest(depth=12), "boosted": tr.boosted_trees("baseline")}, "precio"))
+
+
+def drawn(space, n):
+    return [boosting.Boosting(**x) for x in tr.draw(space, n)]
 
 
 PENALTIES = {"regParam": [0.0, *[10.0 ** k for k in range(-4, 5)]], "elasticNetParam": [0.0, 0.1, 0.25, 0.5, 0.75, 1.0]}
@@ -91,15 +107,20 @@ def search(spark, sf):
 
 @query("halving_search_j6")
 def halving(spark, sf):
+    """Draws from the space of tree parameters; the trees are what the rounds have more of."""
     train = features(spark, sf).where("split = 'train'").drop("split", "descripcion")
-    found = tr.halving_search(train, tr.linear_model(), PENALTIES, 27, "idx", "precio", parallelism=8)
-    return rounded(spark.createDataFrame([(r["share"], r["sets"], float(r["rmse"])) for r in found], "share double, sets int, rmse double"))
+    used = [x for x in feature_columns(train, "precio") if x != "idx"]
+    found = boosting.halving_staged(train, "precio", used, drawn(fixed.TREE_SPACE, HALVED_SETS), "idx", most=HALVED_TREES)
+    return rounded(spark.createDataFrame([(r["trees"], r["sets"], r["best"].depth, r["best"].rate, float(r["rmse"])) for r in found],
+                                         "trees int, sets int, depth int, rate double, rmse double"))
 
 
 @query("importance_j8")
 def importance(spark, sf):
-    split = pieces(features(spark, sf), ("train",))
-    return rounded(tr.PriceModel.fit(split["train"], boosted_trees(), "precio").importance(spark, 10))
+    """Mean gain per split of the script's set."""
+    train = pieces(features(spark, sf), ("train",))["train"]
+    model, = boosting.fit_boosted(train, "precio", feature_columns(train, "precio"), [tr.boosting_set("script")])
+    return rounded(spark.createDataFrame(model.importance(10), "feature string, gain double"))
 
 
 @query("ablation_j10")
@@ -112,8 +133,8 @@ def ablation(spark, sf):
 def sweep(spark, sf):
     docs = table(spark, sf, "documents").join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
     df = materialize(enc.hash_split(docs.select("doc_id", "text", c("n_chars").cast("double").alias("n_chars"), c("quality").cast("double").alias("quality")), "doc_id"), "texts")
-    scores = embed.DescriptionScores(max(fx.EMBED_SWEEP), "text").fit(df.where("split = 'train'"))
-    return rounded(tr.embedding_sweep(df, fx.EMBED_SWEEP, scores, ["n_chars"], tr.linear_model(), "quality"))
+    scores = embed.DescriptionScores(max(fixed.EMBED_SWEEP), "text").fit(df.where("split = 'train'"))
+    return rounded(tr.embedding_sweep(df, fixed.EMBED_SWEEP, scores, ["n_chars"], tr.linear_model(), "quality"))
 
 
 @query("line_of_one_feature_j2", f"""{SPLIT}, t AS (SELECT CAST(precio AS DOUBLE) AS y, CAST(anio AS DOUBLE) AS x FROM parts WHERE split = 'train')
@@ -150,6 +171,6 @@ def worst(spark, sf):
   SELECT idx, {sql_near('m.code')} AS marca_code, motor, kilometros, traccion, cv, turbo, round(CASE WHEN moneda = 'US$' THEN precio * 1400.0 ELSE precio END, 2) AS precio FROM clean JOIN m USING (marca)""")
 def minimum_slice(spark, sf):
     df = materialize(clean_listings(raw(spark, sf)), "clean")
-    coded = enc.TargetMean([fx.BRAND]).fit(df).transform(df)
+    coded = enc.TargetMean([fixed.BRAND]).fit(df).transform(df)
     out = plain(enc.ConvertCurrency().transform(coded))
     return out.select("idx", near("marca").alias("marca_code"), "motor", "kilometros", "traccion", "cv", "turbo", F.round("precio", 2).alias("precio"))

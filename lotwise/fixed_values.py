@@ -123,10 +123,32 @@ FIRST_COLUMNS = [
 
 # --- parameter sets of the boosted-tree price model ------------------------
 BOOSTED_SETS = {
-    "pipeline": {"trees": 600, "depth": 6, "rate": 0.01, "row_share": 1.0, "column_share": 0.6},
-    "script": {"trees": 400, "depth": 5, "rate": 0.1, "row_share": 1.0, "column_share": 0.6},
-    "analysis": {"trees": 600, "depth": 6, "rate": 0.1, "row_share": 1.0, "column_share": 0.6},
-    "baseline": {"trees": 100, "depth": 4, "rate": 0.1, "row_share": 1.0, "column_share": 1.0},
+    "pipeline": {"trees": 600, "depth": 6, "rate": 0.01, "row_share": 1.0, "column_share": 0.6, "gamma": 0.0, "alpha": 0.01, "lam": 1.0},
+    "script": {"trees": 400, "depth": 5, "rate": 0.1, "row_share": 1.0, "column_share": 0.6, "gamma": 0.0, "alpha": 0.01, "lam": 1.0},
+    "analysis": {"trees": 600, "depth": 6, "rate": 0.1, "row_share": 1.0, "column_share": 0.6, "gamma": 0.0, "alpha": 0.01, "lam": 1.0},
+    "baseline": {"trees": 100, "depth": 4, "rate": 0.1, "row_share": 1.0, "column_share": 1.0, "gamma": 0.0, "alpha": 0.0, "lam": 1.0},
+}
+# --- values that a search over boosted trees draws from --------------------
+TREE_SPACE = {
+    "trees": [100, 200, 300, 400],
+    "depth": [3, 4, 5, 6, 7, 8],
+    "rate": [0.01, 0.05, 0.1, 0.2],
+    "row_share": [0.6, 0.8, 1.0],
+    "column_share": [0.6, 0.8, 1.0],
+    "gamma": [0, 0.1, 0.2, 0.5],
+    "alpha": [0, 0.01, 0.1],
+    "lam": [1, 1.5, 2],
+}
+TREE_SPACE_NEAR = {
+    "rate": [0.05, 0.075, 0.1, 0.125],
+    "trees": [250, 300, 350, 400],
+    "depth": [5, 6, 7],
+    "row_share": [0.8, 0.9, 1.0],
+    "column_share": [0.5, 0.6, 0.7],
+    "gamma": [0, 0.1, 0.3],
+    "alpha": [0, 0.005, 0.01, 0.05],
+    "lam": [0.8, 1, 1.2, 1.5],
+    "least_weight": [1, 3, 5],
 }
 EMBED_SWEEP = [0, 5, 10, 15, 20, 25, 30, 35, 40]
 

@@ -30,7 +30,7 @@ from lotwise.session import materialize, materialize_counted
 MISSING = 255
 BLOCK = 4096
 TASK_BLOCKS = 4         # blocks to a task at least
-KEEP = 25
+KEEP = 10
 NO_FOLD = -1
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -103,21 +103,21 @@ def score(g, n, p: Boosting):
 
 
 def best_split(hist: np.ndarray, p: Boosting) -> tuple[float, int, bool, float, float]:
-    """(gain, cut, missing left, gradients left, rows left) for one feature's sums ``hist`` (gradients and rows, by 256 bins).
+    """(gain, cut, missing left, gradients left, rows left) for one feature's sums ``hist``: gradients and rows by bin, the missing ones last.
 
     Without a split that gains anything the gain is 0.
 
     Of equal gains the least bin wins, then the missing rows go left.
     """
-    g, n = np.cumsum(hist[0, :MISSING]), np.cumsum(hist[1, :MISSING])
-    lost_g, lost_n = hist[0, MISSING], hist[1, MISSING]
+    g, n = np.cumsum(hist[0, :-1]), np.cumsum(hist[1, :-1])
+    lost_g, lost_n = hist[:, -1]
     all_g, all_n = g[-1] + lost_g, n[-1] + lost_n
     best = (0.0, 0, True, 0.0, 0.0)
     for missing_left in (True, False) if lost_n else (True,):
         left_g, left_n = (g + lost_g, n + lost_n) if missing_left else (g, n)
         right_g, right_n = all_g - left_g, all_n - left_n
         # A cut behind an empty bin parts the rows as the one before does.
-        good = (left_n >= max(p.least_weight, 1)) & (right_n >= max(p.least_weight, 1)) & (hist[1, :MISSING] > 0)
+        good = (left_n >= max(p.least_weight, 1)) & (right_n >= max(p.least_weight, 1)) & (hist[1, :-1] > 0)
         gain = np.where(good, score(left_g, left_n, p) + score(right_g, right_n, p) - score(all_g, all_n, p), 0.0)
         gain = np.array([float(f"{x:.9e}") if x > 1e-6 else 0.0 for x in gain[good]])
         if len(gain) and gain.max() > best[0]:
@@ -250,8 +250,8 @@ class _Fit:
         self.tree.rows[node] = float(n)
 
 
-def _level_sums(fits: list[tuple[int, "_Fit"]], width: int) -> Callable:
-    """Task work of a level: ((fit, node, feature), sums) of the open nodes."""
+def _level_sums(fits: list[tuple[int, "_Fit"]], width: int, cells: int) -> Callable:
+    """Task work of a level: ((fit, node, feature), sums) of the open nodes, in ``cells`` bins with the missing rows in the last one."""
     def run(rows) -> Iterator[tuple[tuple[int, int, int], np.ndarray]]:
         sums: dict[int, np.ndarray] = {}
         for row in rows:
@@ -269,13 +269,13 @@ def _level_sums(fits: list[tuple[int, "_Fit"]], width: int) -> Callable:
                 node = place[f.tree.node_of(bins)]
                 inside = node >= 0
                 bins, gradient, node = bins[inside][:, f.columns].astype(np.int64), gradient[inside], node[inside]
-                cells = len(f.open) * len(f.columns) * 256
-                at = (node[:, None] * len(f.columns) + np.arange(len(f.columns))) * 256 + bins
-                total = np.stack([np.bincount(at.ravel(), np.repeat(gradient, len(f.columns)), cells), np.bincount(at.ravel(), minlength=cells)])
+                many = len(f.open) * len(f.columns) * cells
+                at = (node[:, None] * len(f.columns) + np.arange(len(f.columns))) * cells + np.where(bins == MISSING, cells - 1, bins)
+                total = np.stack([np.bincount(at.ravel(), np.repeat(gradient, len(f.columns)), many), np.bincount(at.ravel(), minlength=many)])
                 sums[i] = total if i not in sums else sums[i] + total
         for i, f in fits:
             if i in sums:
-                parts = sums[i].reshape(2, len(f.open), len(f.columns), 256)
+                parts = sums[i].reshape(2, len(f.open), len(f.columns), cells)
                 for k, node in enumerate(f.open):
                     for c, column in enumerate(f.columns.tolist()):
                         yield (i, node, column), parts[:, k, c]
@@ -298,7 +298,8 @@ def fit_boosted(df: DataFrame, target: str, features: list[str], sets: list[Boos
     means = df.where(y.isNotNull()).agg(*[F.avg(F.when(f != w, y) if w != NO_FOLD else y).alias(f"m{i}") for i, w in enumerate(folds)]).first()
     fits = [_Fit(p, w, float(m or 0.0)) for p, w, m in zip(sets, folds, means, strict=True)]
     blocks = blocks_of(df, features, target, edges, [x.base for x in fits], key, fold)
-    width = len(features)
+    width, cells = len(features), max((len(e) for e in edges), default=0) + 2
+    keep = max(1, KEEP // len(sets))            # the trees since then are walked again at every level
     for number in range(max((p.trees for p in sets), default=0)):
         growing = [(i, x) for i, x in enumerate(fits) if number < x.params.trees]
         for _, x in growing:
@@ -306,9 +307,9 @@ def fit_boosted(df: DataFrame, target: str, features: list[str], sets: list[Boos
         level = 0
         while active := [(i, x) for i, x in growing if x.open and level < x.params.depth]:
             params = {i: x.params for i, x in active}
-            cells = sum(len(x.open) * len(x.columns) for _, x in active)
-            found = (blocks.rdd.mapPartitions(_level_sums(active, width))
-                     .reduceByKey(lambda a, b: a + b, _reducers(blocks, cells))
+            keys = sum(len(x.open) * len(x.columns) for _, x in active)
+            found = (blocks.rdd.mapPartitions(_level_sums(active, width, cells))
+                     .reduceByKey(lambda a, b: a + b, _reducers(blocks, keys))
                      .map(lambda kv, params=params: (kv[0], best_split(kv[1], params[kv[0][0]]), kv[1].sum(1))).collect())
             best: dict[tuple[int, int], tuple] = {}
             for (i, node, column), split, total in sorted(found, key=lambda r: r[0]):
@@ -331,7 +332,7 @@ def fit_boosted(df: DataFrame, target: str, features: list[str], sets: list[Boos
             x.tree.prune(x.params.gamma)
             x.trees.append(x.tree)
             x.new.append(x.tree)
-        if (number + 1) % KEEP == 0:
+        if (number + 1) % keep == 0:
             blocks = _with_margins(blocks, width, [x.new for x in fits])
             for x in fits:
                 x.new = []
