@@ -32,6 +32,7 @@ BLOCK = 4096
 TASK_BLOCKS = 4         # blocks to a task at least
 KEEP = 10
 NO_FOLD = -1
+GATHERED = 64 << 20      # bytes of a level's sums, by all tasks, up to which the driver adds them
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -102,28 +103,30 @@ def score(g, n, p: Boosting):
     return shrunk(g, p.alpha) ** 2 / (n + p.lam)
 
 
-def best_split(hist: np.ndarray, p: Boosting) -> tuple[float, int, bool, float, float]:
-    """(gain, cut, missing left, gradients left, rows left) for one feature's sums ``hist``: gradients and rows by bin, the missing ones last.
+def best_splits(hist: np.ndarray, p: Boosting) -> list[tuple[float, int, bool, float, float]]:
+    """(gain, cut, missing left, gradients left, rows left) for each of the sums ``hist``.
 
-    Without a split that gains anything the gain is 0.
-
-    Of equal gains the least bin wins, then the missing rows go left.
+    ``hist`` is keys x 2 x bins: gradients and rows by bin, the missing ones last.
+    Without a split that gains anything the gain is 0.  Of equal gains the
+    least bin wins, the missing rows on the left; gains count to ten digits.
     """
-    g, n = np.cumsum(hist[0, :-1]), np.cumsum(hist[1, :-1])
-    lost_g, lost_n = hist[:, -1]
-    all_g, all_n = g[-1] + lost_g, n[-1] + lost_n
-    best = (0.0, 0, True, 0.0, 0.0)
-    for missing_left in (True, False) if lost_n else (True,):
-        left_g, left_n = (g + lost_g, n + lost_n) if missing_left else (g, n)
-        right_g, right_n = all_g - left_g, all_n - left_n
-        # A cut behind an empty bin parts the rows as the one before does.
-        good = (left_n >= max(p.least_weight, 1)) & (right_n >= max(p.least_weight, 1)) & (hist[1, :-1] > 0)
-        gain = np.where(good, score(left_g, left_n, p) + score(right_g, right_n, p) - score(all_g, all_n, p), 0.0)
-        gain = np.array([float(f"{x:.9e}") if x > 1e-6 else 0.0 for x in gain[good]])
-        if len(gain) and gain.max() > best[0]:
-            cut = int(np.flatnonzero(good)[np.argmax(gain)])
-            best = (float(gain.max()), cut, missing_left, float(left_g[cut]), float(left_n[cut]))
-    return best
+    g, n = (np.cumsum(hist[:, k, :-1], axis=1) for k in (0, 1))
+    lost_g, lost_n = hist[:, 0, -1:], hist[:, 1, -1:]
+    all_g, all_n = g[:, -1:] + lost_g, n[:, -1:] + lost_n
+    # Missing rows on the left, then on the right.
+    left_g, left_n = np.concatenate([g + lost_g, g], axis=1), np.concatenate([n + lost_n, n], axis=1)
+    right_g, right_n = all_g - left_g, all_n - left_n
+    # A cut behind an empty bin parts the rows as the one before does.
+    filled = np.tile(hist[:, 1, :-1] > 0, 2)
+    good = filled & (left_n >= max(p.least_weight, 1)) & (right_n >= max(p.least_weight, 1))
+    gain = np.where(good, score(left_g, left_n, p) + score(right_g, right_n, p) - score(all_g, all_n, p), 0.0)
+    gain[gain <= 1e-6] = 0.0
+    unit = 10.0 ** (9 - np.floor(np.log10(np.where(gain > 0, gain, 1.0))))
+    gain = np.round(gain * unit) / unit
+    at, keys = np.argmax(gain, axis=1), np.arange(len(gain))
+    bins = n.shape[1]
+    return [(float(x), int(k % bins), bool(k < bins), float(a), float(b)) for x, k, a, b in zip(
+        gain[keys, at], at, left_g[keys, at], left_n[keys, at], strict=True)]
 
 
 def drawn_columns(p: Boosting, tree: int, features: int) -> np.ndarray:
@@ -299,6 +302,7 @@ def fit_boosted(df: DataFrame, target: str, features: list[str], sets: list[Boos
     fits = [_Fit(p, w, float(m or 0.0)) for p, w, m in zip(sets, folds, means, strict=True)]
     blocks = blocks_of(df, features, target, edges, [x.base for x in fits], key, fold)
     width, cells = len(features), max((len(e) for e in edges), default=0) + 2
+    tasks = blocks.rdd.getNumPartitions()
     keep = max(1, KEEP // len(sets))            # the trees since then are walked again at every level
     for number in range(max((p.trees for p in sets), default=0)):
         growing = [(i, x) for i, x in enumerate(fits) if number < x.params.trees]
@@ -308,9 +312,15 @@ def fit_boosted(df: DataFrame, target: str, features: list[str], sets: list[Boos
         while active := [(i, x) for i, x in growing if x.open and level < x.params.depth]:
             params = {i: x.params for i, x in active}
             keys = sum(len(x.open) * len(x.columns) for _, x in active)
-            found = (blocks.rdd.mapPartitions(_level_sums(active, width, cells))
-                     .reduceByKey(lambda a, b: a + b, _reducers(blocks, keys))
-                     .map(lambda kv, params=params: (kv[0], best_split(kv[1], params[kv[0][0]]), kv[1].sum(1))).collect())
+            sums = blocks.rdd.mapPartitions(_level_sums(active, width, cells))
+            if tasks * keys * cells * 16 > GATHERED:
+                sums = sums.reduceByKey(lambda a, b: a + b, _reducers(blocks, keys)).mapPartitions(_splits(params))
+                found = sums.collect()
+            else:                               # the tasks' sums are few and small: no shuffle
+                total: dict[tuple[int, int, int], np.ndarray] = {}
+                for key_, part in sums.collect():
+                    total[key_] = total[key_] + part if key_ in total else part
+                found = _splits(params)(total.items())
             best: dict[tuple[int, int], tuple] = {}
             for (i, node, column), split, total in sorted(found, key=lambda r: r[0]):
                 if (i, node) not in best or split[0] > best[i, node][0][0]:
@@ -339,6 +349,18 @@ def fit_boosted(df: DataFrame, target: str, features: list[str], sets: list[Boos
     return [BoostedModel(features, target, edges, x.base, x.trees, x.params) for x in fits]
 
 
+def _splits(params: dict[int, Boosting]) -> Callable:
+    """Work on summed keys: (key, best split, sums of all bins)."""
+    def run(items) -> Iterator[tuple]:
+        of_fit: dict[int, list] = {}
+        for key, hist in items:
+            of_fit.setdefault(key[0], []).append((key, hist))
+        for i, listed in of_fit.items():
+            hist = np.stack([h for _, h in listed])
+            yield from zip([k for k, _ in listed], best_splits(hist, params[i]), hist.sum(2), strict=True)
+    return run
+
+
 def _reducers(blocks: DataFrame, keys: int) -> int:
     """Tasks that sum the keys of a level: one per thousand."""
     return max(1, min(blocks.sparkSession.sparkContext.defaultParallelism, keys // 1000))

@@ -89,8 +89,10 @@ def same_tree(model, tree, node, plain):
 @pytest.mark.parametrize("p", [
     bo.Boosting(trees=6, depth=4, rate=0.3),
     bo.Boosting(trees=5, depth=3, rate=0.1, alpha=4.0, lam=2.5, gamma=30.0, least_weight=5)])
-def test_trees_equal_plain_ones(spark, p, monkeypatch):
+@pytest.mark.parametrize("gathered", [0, 64 << 20])
+def test_trees_equal_plain_ones(spark, p, gathered, monkeypatch):
     monkeypatch.setattr(bo, "KEEP", 2)              # margins are written on the way
+    monkeypatch.setattr(bo, "GATHERED", gathered)   # sums meet by key, or in the driver
     x, y = rows_of()
     df = frame_of(spark, x, y).repartition(3)
     model, = bo.fit_boosted(df, "y", FEATURES, [p])
