@@ -117,7 +117,7 @@ def search(spark, sf):
 def halving(spark, sf):
     """Draws from the space of tree parameters; the trees are what the rounds have more of."""
     train = features(spark, sf).where("split = 'train'").drop("split", "descripcion")
-    used = [x for x in feature_columns(train, "precio") if x != "idx"]
+    used = feature_columns(train.drop("idx"), "precio")
     found = boosting.halving_staged(train, "precio", used, drawn(fixed.TREE_SPACE, HALVED_SETS), "idx", most=HALVED_TREES)
     return rounded(spark.createDataFrame([(r["trees"], r["sets"], r["best"].depth, r["best"].rate, float(r["rmse"])) for r in found],
                                          "trees int, sets int, depth int, rate double, rmse double"))

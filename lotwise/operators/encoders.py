@@ -1,5 +1,7 @@
 """Fitted encoders and scalers, and the plain steps between them."""
 
+import math
+
 from pyspark.ml.feature import OneHotEncoder
 from pyspark.sql import DataFrame, functions as F
 
@@ -8,6 +10,7 @@ from lotwise.functions.price import in_local_currency
 from lotwise.operators.fitted import FitStep, FittedModel, PlainStep
 from lotwise.operators.quantiles import order_statistic
 from lotwise.operators.relational import first_columns, numeric_columns, sorted_by, stable_hash
+from lotwise.operators.strata import split_hash, stratified_split
 from lotwise.session import join_lookup, materialize
 
 
@@ -261,23 +264,15 @@ def exact_split(df: DataFrame, key: str, share: float = 0.2, seed: str = "42") -
     """Adds ``is_test`` to exactly ceil(share * rows) rows: the least hashes of the row keys.
 
     The cut is found by rank selection on the hash, not by sorting the rows.  A
-    null key counts as empty text.  Rows that share the cut's key are numbered,
-    and as many of them are taken as the count lacks.
+    null key counts as empty text.  Rows that share the cut's key are numbered in
+    written files, and as many of them are taken as the count lacks.
     """
-    import math
-    text = F.coalesce(F.col(f"`{key}`").cast("string"), F.lit(""))
-    h = F.conv(F.substring(F.md5(F.concat(text, F.lit("|" + seed))), 1, 15), 16, 10).cast("bigint")
-    hashed = df.withColumn("_h", h)
+    hashed = df.withColumn("_h", split_hash(key, seed))
     rows = df.count()
     wanted = math.ceil(share * rows)
     if wanted == 0:
         return df.withColumn("is_test", F.lit(False))
     cut = order_statistic(hashed, "_h", wanted - 1, rows)
-    counts = hashed.agg(F.count_if(F.col("_h") < cut).alias("less"), F.count_if(F.col("_h") == cut).alias("same")).first()
-    below = hashed.withColumn("is_test", F.col("_h") <= F.lit(cut))
-    if counts["less"] + counts["same"] == wanted:
-        return below.drop("_h")
-    tied = hashed.where(F.col("_h") == cut).orderBy(F.col(f"`{key}`"), F.monotonically_increasing_id())
-    first = tied.limit(wanted - counts["less"]).withColumn("is_test", F.lit(True))
-    rest = tied.offset(wanted - counts["less"]).withColumn("is_test", F.lit(False))
-    return below.where(F.col("_h") != cut).unionByName(first).unionByName(rest).drop("_h")
+    if hashed.where(F.col("_h") <= cut).count() == wanted:
+        return hashed.withColumn("is_test", F.col("_h") <= F.lit(cut)).drop("_h")
+    return stratified_split(df, key, [], share, seed)

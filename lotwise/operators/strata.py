@@ -26,10 +26,10 @@ def stratified_split(df: DataFrame, key: str, strata: list[str], share: float =
 
     Rows that share the cut's hash are rows of one key, or nearly so.  They are numbered
     in the order of their places in written files, and as many are taken as the
-    count lacks.  Null values make a stratum of their own; every row is in one.  An
-    empty table gives an empty one.
+    count lacks.  Null values make a stratum of their own; every row is in one; without
+    ``strata`` all rows are one.  An empty table gives an empty one.
     """
-    rows = materialize(df.withColumns({"_h": split_hash(key, seed), "_s": F.xxhash64(*[F.col(f"`{c}`") for c in strata]),
+    rows = materialize(df.withColumns({"_h": split_hash(key, seed), "_s": F.xxhash64(*[F.col(f"`{c}`") for c in strata]) if strata else F.lit(0).cast("bigint"),
                                        "_i": F.monotonically_increasing_id()}), "strata")
     total = rows.groupBy("_s").agg(F.count("*").alias("n"))
     # ``low``: the bits settled so far; ``left``: rows to take from the cell they name.
