@@ -79,13 +79,13 @@ def record_rows(spark, sf):
 
 
 def record_files(spark, sf):
-    """One ``.json`` file per record below year folders; those of size 9 have a price that is no object."""
+    """``.json`` files of one record a line below year folders; records of size 9 have a price that is no object."""
     path = scratch_path(spark, "records")
     rows = record_rows(spark, sf)
     good = rows.where("p_size <> 9").select("record.*", "year")
     broken = rows.where("p_size = 9").select(c("p_partkey").cast("string").alias("Version"), F.lit("ask").alias("Precio"), "year")
     for part in (good, broken):
-        part.write.mode("append").partitionBy("year").option("maxRecordsPerFile", 1).json(path)
+        part.write.mode("append").partitionBy("year").json(path)
     return path
 
 
@@ -93,12 +93,12 @@ def record_files(spark, sf):
   CASE WHEN p_size % 3 = 0 THEN 'nafta' ELSE 'diesel' END AS "Propulsion", 'Manual' AS "Transmision", (p_size + 90) || ' cv' AS "Potencia", CASE WHEN p_size % 4 = 0 THEN '1.6' ELSE '2.0' END AS "Cilindrada",
   'Brasil' AS "Origen", '' AS "Garantia", CASE WHEN p_size <> 7 THEN 'US$' ELSE '' END AS "Moneda", CASE WHEN p_size <> 7 THEN p_retailprice END AS "Importe" FROM part WHERE p_size <> 9 AND p_size % 2 = 0""")
 def car_records(spark, sf):
-    return cars.flatten_records(cars.read_records(spark, record_files(spark, sf)))
+    return cars.flatten_records(cars.read_records(spark, record_files(spark, sf), one_per_file=False))
 
 
 @query("broken_records_a3", "SELECT CAST(p_partkey AS VARCHAR) AS version, CAST(2015 + p_size % 10 AS VARCHAR) AS year FROM part WHERE p_size = 9")
 def broken_records(spark, sf):
-    bad = cars.bad_records(spark, record_files(spark, sf))
+    bad = cars.bad_records(spark, record_files(spark, sf), one_per_file=False)
     return bad.select(F.get_json_object("_corrupt_record", "$.Version").alias("version"),
                       F.regexp_extract("file", "year=([0-9]+)", 1).alias("year"))
 
