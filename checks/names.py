@@ -29,7 +29,7 @@ def _vectors(name, source):
 def versions_of(spark, sf):
     df = listings(spark, sf).where("version is not null")
     out = df.groupBy(c("marca").alias("brand"), c("modelo").alias("model"), "version").agg(F.count("*").alias("n"))
-    return materialize(out.withColumn("text", ascii_words(c("version"))), "versions")
+    return materialize(out.withColumn("text", ascii_words(c("version"))), "versions", wide=True)
 
 
 _VERSIONS = f"versions AS MATERIALIZED (SELECT marca AS brand, modelo AS model, version, count(*) AS n, {_words('version')} AS text FROM listings WHERE version IS NOT NULL GROUP BY ALL)"
@@ -57,7 +57,7 @@ def catalogue_match(spark, sf):
 def mapping_lookup(spark, sf):
     from lotwise.session import join_lookup
     found = catalogue_match(spark, sf).where("name is not null")
-    mapping = materialize(found.select(c("brand").alias("marca"), c("model").alias("modelo"), "version", "name"), "mapping")
+    mapping = materialize(found.select(c("brand").alias("marca"), c("model").alias("modelo"), "version", "name"), "mapping", wide=True)
     out = join_lookup(listings(spark, sf), mapping, ["marca", "modelo", "version"])
     return out.select("idx", F.coalesce("name", "version").alias("version"))
 
@@ -136,7 +136,7 @@ def closest_known(spark, sf):
     model = step.fit(df.where("split <> 'test'"))
     seen = model.tables["mapping"].select("brand", "model", "version")
     every = df.where("version is not null").select(c("marca").alias("brand"), c("modelo").alias("model"), "version").distinct()
-    unseen = materialize(every.join(seen, ["brand", "model", "version"], "left_anti"), "unseen")
+    unseen = materialize(every.join(seen, ["brand", "model", "version"], "left_anti"), "unseen", wide=True)
     close = closest_names(unseen, model.tables["names"], model.tables["grams"], 0.2)
     return (unseen.join(close, ["brand", "model", "version"], "left")
             .select("brand", "model", "version", F.coalesce("closest", "version").alias("version_canon")))

@@ -29,7 +29,7 @@ def dense_clusters(points: DataFrame, keys: list[str], similarity: float, leader
     minimum weight ``least``.  A border text goes to the least of the clusters
     it touches.
     """
-    points = materialize(points, "points")
+    points = materialize(points, "points", wide=True)
     half = math.sqrt((1 + similarity) / 2) + 1e-9
     own = keys + ["text"]
     profile = own + ["codes", "tfs", "nsq"]
@@ -40,18 +40,18 @@ def dense_clusters(points: DataFrame, keys: list[str], similarity: float, leader
     members = points.join(balls.select(*own, F.col("name").alias("ball")), own)
     heavy = (members.groupBy(*keys, "ball").agg(F.sum("weight").alias("w"), F.max("least").alias("least"))
              .where(F.col("w") >= F.col("least")).select(*keys, "ball"))
-    dense = materialize(members.join(heavy, keys + ["ball"]).select(*profile, "weight", "least", "ball"), "dense")
-    loose = materialize(points.join(dense.select(*own), own, "left_anti"), "loose")
+    dense = materialize(members.join(heavy, keys + ["ball"]).select(*profile, "weight", "least", "ball"), "dense", wide=True)
+    loose = materialize(points.join(dense.select(*own), own, "left_anti"), "loose", wide=True)
 
     # neighbours of texts outside dense balls
-    near = materialize(similar_pairs(loose, points, keys, similarity).where("a <> b"), "near")
+    near = materialize(similar_pairs(loose, points, keys, similarity).where("a <> b"), "near", wide=True)
     weights = near.join(points.select(*keys, F.col("text").alias("b"), F.col("weight").alias("w")), keys + ["b"])
     around = weights.groupBy(*keys, F.col("a").alias("text")).agg(F.sum("w").alias("around"))
     loose_core = (loose.join(around, own, "left")
                   .where(F.col("weight") + F.coalesce("around", F.lit(0)) >= F.col("least")).select(*own))
     # every core text with the node it belongs to: its ball, or itself
     cores = materialize(dense.select(*own, F.col("ball").alias("node"))
-                        .unionByName(loose_core.select(*own, F.col("text").alias("node"))), "cores")
+                        .unionByName(loose_core.select(*own, F.col("text").alias("node"))), "cores", wide=True)
 
     def node(df, column):
         return df.join(cores.select(*keys, F.col("text").alias(column), F.col("node").alias(f"node_{column}")), keys + [column])
@@ -59,14 +59,14 @@ def dense_clusters(points: DataFrame, keys: list[str], similarity: float, leader
     links = node(node(near, "a"), "b").select(*keys, F.col("node_a").alias("a"), F.col("node_b").alias("b"))
     # balls: leaders within the radius settle it; otherwise members decide
     led = heads.join(heavy.withColumnRenamed("ball", "text"), own, "left_semi").select(*profile)
-    close = materialize(similar_pairs(led, led, keys, similarity, self_join=True).select(*keys, "a", "b"), "close")
+    close = materialize(similar_pairs(led, led, keys, similarity, self_join=True).select(*keys, "a", "b"), "close", wide=True)
     crossing = _crossing_balls(dense, heavy, close, keys, similarity)
     edges = links.unionByName(close).unionByName(crossing).where("a <> b").distinct()
 
     roots = connected_components(cores.select(*keys, F.col("node").alias("id")), edges, keys)
     placed = cores.join(roots.withColumnRenamed("id", "node"), keys + ["node"])
     names = placed.groupBy(*keys, "root").agg(F.min("text").alias("cluster"))
-    core_cluster = materialize(placed.join(names, keys + ["root"]).select(*own, "cluster"), "clusters")
+    core_cluster = materialize(placed.join(names, keys + ["root"]).select(*own, "cluster"), "clusters", wide=True)
     border = (near.join(core_cluster.withColumnRenamed("text", "b"), keys + ["b"])
               .groupBy(*keys, F.col("a").alias("text")).agg(F.min("cluster").alias("touch"))
               .join(core_cluster.select(*own), own, "left_anti"))
@@ -83,7 +83,7 @@ def _crossing_balls(dense: DataFrame, heavy: DataFrame, close: DataFrame, keys:
     """
     pairs = (heavy.withColumnRenamed("ball", "a").join(heavy.withColumnRenamed("ball", "b"), keys)
              .where("a < b").join(close, keys + ["a", "b"], "left_anti"))
-    pairs, rows = materialize_counted(pairs, "ballpairs")
+    pairs, rows = materialize_counted(pairs, "ballpairs", wide=True)
     if rows == 0:
         return pairs
     profile = ["text", "codes", "tfs", "nsq"]
@@ -114,7 +114,7 @@ def cluster_versions(versions: DataFrame, keys: list[str], value: str, codes: Da
     ``n``.  A cluster needs max(2, rows // share) rows.  Values whose clean text
     is empty are left out; a text without a known gram is always noise.
     """
-    usable = materialize(versions.where("text <> ''"), "usable")
+    usable = materialize(versions.where("text <> ''"), "usable", wide=True)
     least = usable.groupBy(*keys).agg(F.greatest(F.lit(2), F.floor(F.sum("n") / share)).alias("least"))
     known = profiles(usable.select("text"), codes)
     points = (usable.groupBy(*keys, "text").agg(F.sum("n").alias("weight"))

@@ -71,10 +71,10 @@ def linkage_clusters(texts: DataFrame, keys: list[str], distance: float = fx.LIN
     ``texts`` holds keys, distinct clean texts and their row count ``n``.
     Vectors are TF-IDF of 3-5-grams within the group, of length one.
     """
-    texts = materialize(texts, "texts")
+    texts = materialize(texts, "texts", wide=True)
     counts = (texts.select(*keys, "text", "n", F.explode(grams(F.col("text"), low, high)).alias("gram"))
               .groupBy(*keys, "text", "n", "gram").agg(F.count("*").alias("tf")))
-    counts = materialize(counts, "counts")
+    counts = materialize(counts, "counts", wide=True)
     df = counts.groupBy(*keys, "gram").agg(F.sum("n").alias("df"), F.count("*").alias("texts"))
     rows = texts.groupBy(*keys).agg(F.sum("n").alias("rows"))
     weighted = counts.join(df, keys + ["gram"]).join(rows, keys).withColumn(
@@ -82,16 +82,16 @@ def linkage_clusters(texts: DataFrame, keys: list[str], distance: float = fx.LIN
     length = weighted.groupBy(*keys, "text").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("length"))
     vectors = weighted.join(length, keys + ["text"]).select(
         *keys, F.col("text").alias("id"), "n", "gram", "texts", (F.col("w") / F.col("length")).alias("w"))
-    packed = materialize(_packed(vectors, keys), "clusters")
-    member = materialize(packed.select(*keys, F.col("id").alias("text"), "id"), "member")
+    packed = materialize(_packed(vectors, keys), "clusters", wide=True)
+    member = materialize(packed.select(*keys, F.col("id").alias("text"), "id"), "member", wide=True)
 
     while True:
-        pairs = materialize(_close_pairs(packed, keys, 1 - distance), "pairs")
+        pairs = materialize(_close_pairs(packed, keys, 1 - distance), "pairs", wide=True)
         ends = pairs.select(*keys, F.col("a").alias("me"), "a", "b", "score").unionByName(
             pairs.select(*keys, F.col("b").alias("me"), "a", "b", "score"))
         nearest = best_row(ends, keys + ["me"], [-F.col("score"), F.col("a"), F.col("b")], ["a", "b"])
         agreed = nearest.groupBy(*keys, "a", "b").agg(F.count("*").alias("sides")).where("sides = 2")
-        merges, merged = materialize_counted(agreed.select(*keys, F.col("b").alias("id"), F.col("a").alias("into")), "merges")
+        merges, merged = materialize_counted(agreed.select(*keys, F.col("b").alias("id"), F.col("a").alias("into")), "merges", wide=True)
         if merged == 0:
             break
         moved = packed.join(merges, keys + ["id"], "left").withColumn("into", F.coalesce("into", "id"))
@@ -100,16 +100,16 @@ def linkage_clusters(texts: DataFrame, keys: list[str], distance: float = fx.LIN
         means = (flat.groupBy(*keys, "id", F.col("e.texts").alias("texts"), F.col("e.gram").alias("gram"))
                  .agg(F.sum(F.col("n") * F.col("e.w")).alias("w")).join(sizes, keys + ["id"])
                  .select(*keys, "id", F.col("total").alias("n"), "gram", "texts", (F.col("w") / F.col("total")).alias("w")))
-        packed = materialize(_packed(means, keys), "clusters")
+        packed = materialize(_packed(means, keys), "clusters", wide=True)
         member = materialize(member.join(merges, keys + ["id"], "left").select(
-            *keys, "text", F.coalesce("into", "id").alias("id")), "member")
+            *keys, "text", F.coalesce("into", "id").alias("id")), "member", wide=True)
     return texts.select(*keys, "text").join(
         member.withColumnRenamed("id", "cluster"), keys + ["text"], "left")
 
 
 def linkage_labels(values: DataFrame, keys: list[str], value: str, distance: float = fx.LINKAGE_DISTANCE) -> DataFrame:
     """(keys, value, cluster, canon): canon is the cluster's most frequent value; ``values`` has value, text, n."""
-    usable = materialize(values.where("text <> ''"), "usable")
+    usable = materialize(values.where("text <> ''"), "usable", wide=True)
     texts = usable.groupBy(*keys, "text").agg(F.sum("n").alias("n"))
     clusters = linkage_clusters(texts, keys, distance)
     placed = usable.join(clusters, keys + ["text"]).withColumn("group", F.coalesce("cluster", F.lit("")))

@@ -175,7 +175,7 @@ def best_matches(left: DataFrame, right: DataFrame, keys: list[str], threshold:
 
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in keys + ["text"]) + ", score double, " + ", ".join(f"`{c}` {kinds[c]}" for c in given)
     best = map_groups(rows, keys + ["_i", "_j"], work, schema, ["_side", *given])
-    return materialize(best_row(best, keys + ["text"], [-F.col("score")] + [F.col(o) for o in order] + [F.col(name)], [name, "score"]), "matches")
+    return materialize(best_row(best, keys + ["text"], [-F.col("score")] + [F.col(o) for o in order] + [F.col(name)], [name, "score"]), "matches", wide=True)
 
 
 # ------------------------------------------------------------------ catalogue match
@@ -191,7 +191,7 @@ def match_catalogue(versions: DataFrame, catalogue: DataFrame, keys: list[str],
     amount = F.lit(0) if quantity is None else -F.coalesce(F.col(quantity), F.lit(0))
     right = (catalogue.where("name is not null")
              .select(*keys, "name", amount.alias("_order"), clean(F.col("name")).alias("text")))
-    known = materialize(profiles(left.select("text").unionByName(right.select("text")), codes), "profiles")
+    known = materialize(profiles(left.select("text").unionByName(right.select("text")), codes), "profiles", wide=True)
     found = best_matches(left.select(*keys, "text").distinct().join(known, "text"),
                          right.join(known, "text"), keys, threshold, ["_order"])
     return left.join(found, keys + ["text"], "left").select(*keys, version, "text", "name", "score")

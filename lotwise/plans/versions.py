@@ -28,11 +28,11 @@ class HarmonizeVersions(FitStep):
         named = df.select(F.col(f"`{s['brand']}`").alias("brand"), F.col(f"`{s['model']}`").alias("model"),
                           F.col(f"`{s['version']}`").alias("version"))
         counts = materialize(named.where("version is not null").groupBy("brand", "model", "version")
-                             .agg(F.count("*").alias("n")).withColumn("text", ascii_words(F.col("version"))), "versions")
+                             .agg(F.count("*").alias("n")).withColumn("text", ascii_words(F.col("version"))), "versions", wide=True)
         codes = materialize(vocabulary(counts.select("text")), "grams")
         counts = counts.where("brand is not null and model is not null")
         mapping = harmonize(counts, self.catalogue, codes, s["threshold"])
-        mapping = materialize(mapping, "mapping")
+        mapping = materialize(mapping, "mapping", wide=True)
         names = (mapping.select("brand", "model", F.col("canon").alias("name")).distinct()
                  .withColumn("text", ascii_words(F.col("name"))))
         return HarmonizeVersionsModel(s, {"mapping": mapping, "names": names, "grams": codes})
@@ -45,12 +45,12 @@ def harmonize(counts: DataFrame, catalogue: DataFrame | None, codes: DataFrame,
         return cluster_versions(counts, keys, "version", codes).select(*keys, "version", "canon")
     quantity = "quantity" if "quantity" in catalogue.columns else None
     listed = catalogue.select(*keys, F.col("version").alias("name"), *([quantity] if quantity else []))
-    listed = materialize(listed.where("name is not null"), "catalogue")
+    listed = materialize(listed.where("name is not null"), "catalogue", wide=True)
     matched = match_catalogue(counts, listed, keys, "version", threshold, codes, quantity)
     known = listed.select(*keys).distinct().withColumn("has_catalogue", F.lit(True))
     both = materialize(join_lookup(matched.join(counts.select(*keys, "version", "n"), keys + ["version"]), known, keys)
                        .withColumn("canon", F.coalesce("name", "version"))
-                       .withColumn("own", F.col("canon") == F.col("version")), "matched")
+                       .withColumn("own", F.col("canon") == F.col("version")), "matched", wide=True)
     # in a group with catalogue names a single unmatched row is left as it is
     lone = (both.where("own and has_catalogue").groupBy(*keys).agg(F.sum("n").alias("rows"))
             .where("rows <= 1").select(*keys).withColumn("lone", F.lit(True)))
@@ -71,11 +71,11 @@ class HarmonizeVersionsModel(FittedModel):
         # versions never seen in fit: closest canonical name of the brand and model
         unseen = (first.where(F.col("canon").isNull() & F.col(f"`{s['version']}`").isNotNull())
                   .select(*[F.col(f"`{k}`").alias(v) for k, v in cols.items()]).distinct())
-        unseen, rows = materialize_counted(unseen.where("brand is not null and model is not null"), "unseen")
+        unseen, rows = materialize_counted(unseen.where("brand is not null and model is not null"), "unseen", wide=True)
         if rows == 0:
             return first.withColumn(s["version"], F.coalesce("canon", F.col(f"`{s['version']}`"))).drop("canon")
         closest = closest_names(unseen, self.tables["names"], self.tables["grams"], s["threshold"])
-        closest = materialize(closest, "closest")
+        closest = materialize(closest, "closest", wide=True)
         closest = closest.withColumnsRenamed({v: k for k, v in cols.items()})
         return (join_lookup(first, closest, list(cols))
                 .withColumn(s["version"], F.coalesce("canon", "closest", F.col(f"`{s['version']}`")))
@@ -92,7 +92,7 @@ def closest_names(unseen: DataFrame, names: DataFrame, codes: DataFrame, thresho
     """(brand, model, version, closest) for versions that reach the threshold."""
     keys = ["brand", "model"]
     left = unseen.withColumn("text", ascii_words(F.col("version")))
-    known = materialize(profiles(left.select("text").unionByName(names.select("text")), codes), "profiles")
+    known = materialize(profiles(left.select("text").unionByName(names.select("text")), codes), "profiles", wide=True)
     found = best_matches(left.select(*keys, "text").distinct().join(known, "text"),
                          names.join(known, "text"), keys, threshold)
     return left.join(found, keys + ["text"]).select(*keys, "version", F.col("name").alias("closest"))

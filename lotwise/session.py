@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
 SALTS = 32
+REPEATED = SALTS * BROADCAST_ROWS    # rows of a salted table
 
 _local_roots: dict[str, str] = {}
 _shipped: set[str] = set()
@@ -67,12 +68,19 @@ def discard_scratch(spark: SparkSession) -> None:
     folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write ``df`` once and read it back: later steps start from the files."""
+def materialize(df: DataFrame, name: str = "table", wide: bool = False) -> DataFrame:
+    """Write ``df`` once and read it back: later steps start from the files.
+
+    ``wide`` is for texts and vectors that repeat: their files hold a small part of
+    the bytes they unfold to, so a plan by file size would send them through the
+    driver.  Joins with them go by shuffle unless the other side is broadcast.
+    """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
     written = spark.read.schema(df.schema).parquet(path)
+    if wide:
+        written = written.hint("merge")
     written._scratch_path = path
     return written
 
@@ -86,10 +94,10 @@ def forget(spark: SparkSession, *written: DataFrame) -> None:
     spark.sparkContext._jvm.System.gc()     # the cleaner learns of dead frames by garbage collection only
 
 
-def materialize_counted(df: DataFrame, name: str = "table") -> tuple[DataFrame, int]:
+def materialize_counted(df: DataFrame, name: str = "table", wide: bool = False) -> tuple[DataFrame, int]:
     """Same, with the row count observed while writing (no second job)."""
     seen = Observation()
-    written = materialize(df.observe(seen, F.count(F.lit(1)).alias("rows")), name)
+    written = materialize(df.observe(seen, F.count(F.lit(1)).alias("rows")), name, wide)
     return written, seen.get["rows"]
 
 
@@ -104,16 +112,23 @@ def join_lookup(df: DataFrame, table: DataFrame, keys: list[str], rows: int | No
 
     A table whose counted rows and bytes stay under the limits is broadcast and
     ``df`` is not shuffled at all.  A larger one is joined by shuffle with
-    salted keys, so that one key holding much of ``df`` is spread over
-    ``SALTS`` tasks.  The salt is a row's place, not its content, so equal rows
-    of a hot key are spread as well.
+    salted keys, so that one key holding much of ``df`` is spread over up to
+    ``SALTS`` tasks; the table is repeated to ``REPEATED`` rows at most, and
+    beyond that adaptive execution splits what is skewed.  The salt is a row's
+    place, not its content, so equal rows of a hot key are spread as well.
     """
     if rows is None or rows <= broadcast_rows:
         size = table.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length(F.to_json(F.struct("*")))), F.lit(0)).alias("b")).first()
         if size["n"] <= broadcast_rows and size["b"] <= BROADCAST_BYTES:
             return df.join(F.broadcast(table), keys, how)
-    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS))
-    salts = F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(SALTS)]))
+        rows = size["n"]
+    salts = max(1, min(SALTS, REPEATED // max(rows, 1)))
+    empty = F.lit(False)
+    for k in keys:
+        empty = empty | F.col(f"`{k}`").isNull()
+    # rows without a key meet nothing and go anywhere
+    salt = F.pmod(F.monotonically_increasing_id(), F.when(empty, SALTS).otherwise(salts))
+    each = F.explode(F.array(*[F.lit(i).cast("bigint") for i in range(salts)]))
     return (df.withColumn("_salt", salt)
-            .join(table.withColumn("_salt", salts), keys + ["_salt"], how)
+            .join(table.withColumn("_salt", each).hint("merge"), keys + ["_salt"], how)
             .drop("_salt"))

@@ -62,13 +62,13 @@ def find_versions(requests: DataFrame, records: DataFrame) -> DataFrame:
     blank = requests.where("make is null or make = '' or model is null or model = ''")
     if not blank.isEmpty():
         raise ValueError("make and model are required")
-    asked = materialize(requests.withColumn("given", _given_mask()), "asked")
+    asked = materialize(requests.withColumn("given", _given_mask()), "asked", wide=True)
     sets = [row["given"] for row in asked.select("given").distinct().collect()]     # at most 2 ** 6 numbers
     keys = ["given", "make", "model"] + OPTIONAL
     sides = records.withColumn("given", F.explode(F.array(*[F.lit(m) for m in sets])))
     shared = sides.select("record_id", F.col("trim").alias("record_trim"), *_masked(keys))
     left = asked.select("request_id", "trim", *_masked(keys))
-    joined = materialize(left.join(shared, keys).select("request_id", "trim", "record_id", "record_trim"), "candidates")
+    joined = materialize(left.join(shared, keys).select("request_id", "trim", "record_id", "record_trim"), "candidates", wide=True)
     scored = _trim_scores(joined)
     order = [F.desc("score"), F.col("record_id")]
     place = F.row_number().over(Window.partitionBy("request_id").orderBy(*order))
@@ -101,8 +101,8 @@ def _trim_scores(pairs: DataFrame) -> DataFrame:
     """Cosine of 2-3-grams between the two trims of each pair; 0 where either has none."""
     texts = (pairs.select(ascii_words(F.col("trim")).alias("text"))
              .unionByName(pairs.select(ascii_words(F.col("record_trim")).alias("text"))).where("text <> ''"))
-    texts = materialize(texts.distinct(), "trims")
-    known = materialize(profiles(texts, vocabulary(texts)), "profiles")
+    texts = materialize(texts.distinct(), "trims", wide=True)
+    known = materialize(profiles(texts, vocabulary(texts)), "profiles", wide=True)
     a = known.select(F.col("text").alias("ta"), F.col("codes").alias("ca"), F.col("tfs").alias("fa"), F.col("nsq").alias("na"))
     b = known.select(F.col("text").alias("tb"), F.col("codes").alias("cb"), F.col("tfs").alias("fb"), F.col("nsq").alias("nb"))
     both = (pairs.withColumn("ta", ascii_words(F.col("trim"))).withColumn("tb", ascii_words(F.col("record_trim")))

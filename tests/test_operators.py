@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from lotwise.operators import colours, density, encoders as enc, impute, linkage, neighbours, outliers, quantiles, similarity as sim
 from lotwise.operators.components import connected_components
-from lotwise.session import join_lookup
+from lotwise import session
+from lotwise.session import join_lookup, materialize
 
 
 def rng():
@@ -332,3 +333,18 @@ def test_best_matches_across_blocks(spark, monkeypatch):
     for (k, version), (name, value) in got.items():
         found = sorted((-score(version, n), -q, n) for g, n, q in pool if g == k)
         assert (name, value) == ((found[0][2], pytest.approx(-found[0][0])) if -found[0][0] >= 0.2 else (None, None))
+
+
+def test_written_texts_are_not_sent_through_the_driver(spark):
+    table = materialize(spark.range(50).select("id", F.lit("a text").alias("text")), "texts", wide=True)
+    plan = spark.range(10).join(table.groupBy("id", "text").count(), "id")._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" not in plan and "SortMergeJoin" in plan
+
+
+def test_lookup_repeats_a_large_table_within_bounds(spark, monkeypatch):
+    monkeypatch.setattr(session, "REPEATED", 6)
+    df = spark.createDataFrame([(i, None if i % 5 == 0 else f"k{i % 4}") for i in range(100)], "i int, k string")
+    table = spark.createDataFrame([("k0", 1), ("k1", 2), (None, 3)], "k string, v int")
+    joined = join_lookup(df, table, ["k"], broadcast_rows=0)
+    assert joined._jdf.queryExecution().optimizedPlan().toString().count("explode([0,1])") == 1
+    assert sorted((r["i"], r["v"]) for r in joined.collect() if r["v"]) == [(i, 1 + i % 4) for i in range(100) if i % 5 and i % 4 < 2] and joined.count() == 100
