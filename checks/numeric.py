@@ -31,7 +31,7 @@ def _knn_sql():
 
 @query("knn_impute_i12_c10", _knn_sql())
 def knn(spark, sf):
-    df = parts(spark, sf).select("idx", "split", (c("kilometros") / 1000).alias("kilometros"), c("cv").cast("double").alias("cv"),
+    df = parts(spark, sf, *_COLS).select("idx", "split", (c("kilometros") / 1000).alias("kilometros"), c("cv").cast("double").alias("cv"),
                                  (c("motor") * 10).alias("motor"), c("anio").cast("double").alias("anio"))
     out = neighbours.KnnImputer(list(_COLS)).fit(df.where("split = 'train'")).transform(df)
     return out.select("idx", *[F.round(x, 6).alias(x) for x in _COLS])
@@ -39,7 +39,7 @@ def knn(spark, sf):
 
 @query("isolation_forest_i13")
 def isolation(spark, sf):
-    df = parts(spark, sf).select("idx", "split", "precio")
+    df = parts(spark, sf, "precio")
     return outliers.IsolationForest(["precio"], key="idx").fit(df.where("split = 'train'")).transform(df)
 
 
