@@ -169,3 +169,20 @@ def test_no_rows_and_missing_columns(spark):
     empty = df.withColumn("b", F.lit(None).cast("double"))
     model, = bo.fit_boosted(empty, "y", FEATURES, [bo.Boosting(trees=2, depth=2)])
     assert all(f != 1 for t in model.trees for f in t.feature)
+
+
+def test_margins_move_once_per_tree(spark, monkeypatch):
+    tree = bo.Tree()
+    left, right = tree.split(0, 0, 1, True, 1.0)
+    tree.value[left], tree.value[right] = 0.5, -2.0
+    bins, y = np.array([[0], [2], [bo.MISSING]], np.uint8), np.zeros(3)
+    row = (bins.tobytes(), y.tobytes(), np.arange(3).tobytes(), np.zeros(3, np.int32).tobytes(), np.ones((2, 3)).tobytes())
+    (moved,) = bo._moved(1, [None, tree])([row])
+    assert np.frombuffer(moved[4]).reshape(2, 3).tolist() == [[1, 1, 1], [1.5, -1, 1.5]]
+    df = spark.range(60).select("id", (F.col("id") % 7).cast("double").alias("a"), ((F.col("id") * 13) % 60).cast("double").alias("y")).coalesce(1)
+    found = []
+    for keep in (1, 3):
+        monkeypatch.setattr(bo, "KEEP", keep)
+        (model,) = bo.fit_boosted(df, "y", ["a"], [bo.Boosting(trees=5, depth=2)], key="id")
+        found.append([v for t in model.trees for v in t.value])
+    assert found[0] == pytest.approx(found[1], abs=1e-9)
