@@ -6,6 +6,8 @@ group lead balls of half the radius.  All members of a ball lie within the
 radius of each other, so a ball that reaches the minimum weight is one set of
 core texts that hang together.  Only texts outside such balls look for their
 neighbours, and two balls only compare members when their leaders are apart.
+Neighbours are never listed as pairs: blocks of texts are compared at a time,
+and each gives a weight, a link or a least cluster per text.
 """
 
 import math
@@ -15,7 +17,7 @@ from pyspark.sql import DataFrame, functions as F
 from lotwise.fixed_values import DENSITY_SIMILARITY
 from lotwise.operators.components import connected_components
 from lotwise.operators.relational import top_per_group
-from lotwise.operators.similarity import best_matches, profiles, similar_pairs
+from lotwise.operators.similarity import best_matches, profiles, similar_least, similar_links, similar_pairs, similar_weight
 from lotwise.operators.stats import cluster_labels
 from lotwise.session import materialize, materialize_counted
 
@@ -43,20 +45,14 @@ def dense_clusters(points: DataFrame, keys: list[str], similarity: float, leader
     dense = materialize(members.join(heavy, keys + ["ball"]).select(*profile, "weight", "least", "ball"), "dense", wide=True)
     loose = materialize(points.join(dense.select(*own), own, "left_anti"), "loose", wide=True)
 
-    # neighbours of texts outside dense balls
-    near = materialize(similar_pairs(loose, points, keys, similarity).where("a <> b"), "near", wide=True)
-    weights = near.join(points.select(*keys, F.col("text").alias("b"), F.col("weight").alias("w")), keys + ["b"])
-    around = weights.groupBy(*keys, F.col("a").alias("text")).agg(F.sum("w").alias("around"))
-    loose_core = (loose.join(around, own, "left")
-                  .where(F.col("weight") + F.coalesce("around", F.lit(0)) >= F.col("least")).select(*own))
+    # weight within the radius of texts outside dense balls, themselves included
+    around = similar_weight(loose, points, keys, similarity)
+    loose_core = (loose.join(around, own, "left").where(F.coalesce("total", "weight") >= F.col("least"))
+                  .select(*profile, F.col("text").alias("node")))
+    loose_core = materialize(loose_core, "loosecore", wide=True)
     # every core text with the node it belongs to: its ball, or itself
-    cores = materialize(dense.select(*own, F.col("ball").alias("node"))
-                        .unionByName(loose_core.select(*own, F.col("text").alias("node"))), "cores", wide=True)
-
-    def node(df, column):
-        return df.join(cores.select(*keys, F.col("text").alias(column), F.col("node").alias(f"node_{column}")), keys + [column])
-
-    links = node(node(near, "a"), "b").select(*keys, F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+    cores = materialize(dense.select(*profile, F.col("ball").alias("node")).unionByName(loose_core), "cores", wide=True)
+    links = similar_links(loose_core, cores, keys, similarity)
     # balls: leaders within the radius settle it; otherwise members decide
     led = heads.join(heavy.withColumnRenamed("ball", "text"), own, "left_semi").select(*profile)
     close = materialize(similar_pairs(led, led, keys, similarity, self_join=True).select(*keys, "a", "b"), "close", wide=True)
@@ -66,11 +62,10 @@ def dense_clusters(points: DataFrame, keys: list[str], similarity: float, leader
     roots = connected_components(cores.select(*keys, F.col("node").alias("id")), edges, keys)
     placed = cores.join(roots.withColumnRenamed("id", "node"), keys + ["node"])
     names = placed.groupBy(*keys, "root").agg(F.min("text").alias("cluster"))
-    core_cluster = materialize(placed.join(names, keys + ["root"]).select(*own, "cluster"), "clusters", wide=True)
-    border = (near.join(core_cluster.withColumnRenamed("text", "b"), keys + ["b"])
-              .groupBy(*keys, F.col("a").alias("text")).agg(F.min("cluster").alias("touch"))
-              .join(core_cluster.select(*own), own, "left_anti"))
-    return (points.select(*own).join(core_cluster, own, "left").join(border, own, "left")
+    core_cluster = materialize(placed.join(names, keys + ["root"]).select(*profile, "cluster"), "clusters", wide=True)
+    outside = loose.join(loose_core.select(*own), own, "left_anti")
+    border = similar_least(outside, core_cluster, keys, similarity, "cluster").withColumnRenamed("cluster", "touch")
+    return (points.select(*own).join(core_cluster.select(*own, "cluster"), own, "left").join(border, own, "left")
             .select(*own, F.coalesce("cluster", "touch").alias("cluster")))
 
 
@@ -91,8 +86,8 @@ def _crossing_balls(dense: DataFrame, heavy: DataFrame, close: DataFrame, keys:
     named = pairs.select(*keys, F.col("a").alias("ball_a"), F.col("b").alias("ball_b"))
     left = dense.withColumnRenamed("ball", "ball_a").join(named, keys + ["ball_a"]).select(*across, *profile)
     right = dense.withColumnRenamed("ball", "ball_b").join(named, keys + ["ball_b"]).select(*across, *profile)
-    touching = similar_pairs(left, right, across, similarity)
-    return touching.select(*keys, F.col("ball_a").alias("a"), F.col("ball_b").alias("b")).distinct()
+    touching = similar_links(left.withColumn("node", F.col("ball_a")), right.withColumn("node", F.col("ball_b")), across, similarity)
+    return touching.select(*keys, "a", "b").distinct()
 
 
 def label_clusters(members: DataFrame, clusters: DataFrame, keys: list[str], value: str) -> DataFrame:

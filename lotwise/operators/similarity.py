@@ -7,8 +7,9 @@ lies there cannot reach t.  Both sides are therefore joined on leading grams
 only, a pair is kept at its first common gram (so it appears once and needs
 no de-duplication), and its exact cosine is computed there.
 
-A search for the best match alone compares blocks of texts by products of count
-matrices instead, since at low thresholds nearly all pairs share a leading gram.
+A search for the best match, and folds over similar pairs that need no list of
+them, compare blocks of texts by products of count matrices instead, since short
+texts of one group nearly all share a leading gram.
 """
 
 import numpy as np
@@ -120,6 +121,39 @@ def _dense(codes: pa.ListArray, tfs: pa.ListArray) -> np.ndarray:
     return out
 
 
+def _block_rows(left: DataFrame, right: DataFrame, keys: list[str], extra: list[str], block: int = BLOCK) -> DataFrame:
+    """Both sides cut into blocks of about ``block`` texts per key, one copy of a text for every block it meets.
+
+    Columns of ``extra`` that a side lacks are null there.
+    """
+    def blocks(df, column):
+        return df.groupBy(*keys).agg(F.ceil(F.count("*") / block).cast("int").alias(column))
+
+    sizes, n = materialize_counted(blocks(left, "_nl").join(blocks(right, "_nr"), keys), "blocks")
+    kinds = dict(left.dtypes) | dict(right.dtypes)
+
+    def side(df, number, own, other, own_size, other_size):
+        cut = join_lookup(df, sizes, keys, n, "inner").withColumn(own, F.pmod(F.xxhash64("text"), F.col(own_size)).cast("int"))
+        cut = cut.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_size) - 1)))
+        more = [F.col(c) if c in df.columns else F.lit(None).cast(kinds[c]).alias(c) for c in extra]
+        return cut.select(*keys, "_i", "_j", F.lit(number).alias("_side"), "text", "codes", "tfs", F.col("nsq").cast("bigint").alias("nsq"), *more)
+
+    return side(left, 0, "_i", "_j", "_nl", "_nr").unionByName(side(right, 1, "_j", "_i", "_nr", "_nl"))
+
+
+def _block_scores(table: pa.Table, starts: np.ndarray):
+    """(first left row, first right row, end, cosines) of every pair of blocks with texts on both sides."""
+    which, length = table.column("_side").to_numpy(), table.column("nsq").to_numpy().astype(np.float64)
+    codes, tfs = (table.column(c).combine_chunks() for c in ("codes", "tfs"))
+    for s, e in zip(starts.tolist(), np.append(starts[1:], table.num_rows).tolist()):
+        m = s + int(np.searchsorted(which[s:e], 1))
+        if s == m or m == e:
+            continue
+        counts = _dense(codes.slice(s, e - s), tfs.slice(s, e - s))
+        size = np.sqrt(length[s:m, None] * length[None, m:e])
+        yield s, m, e, (counts[:m - s] @ counts[m - s:].T).astype(np.float64) / np.where(size > 0, size, 1.0)
+
+
 def best_matches(left: DataFrame, right: DataFrame, keys: list[str], threshold: float,
                  order: list[str] | None = None, name: str = "name") -> DataFrame:
     """For each left text the right row of highest cosine, if it reaches ``threshold``.
@@ -135,33 +169,14 @@ def best_matches(left: DataFrame, right: DataFrame, keys: list[str], threshold:
     # one row per right text: the one that wins its ties
     names = best_row(right, keys + ["text"], [F.col(o) for o in order] + [F.col(name)], order + [name])
     vectors = right.select(*keys, "text", "codes", "tfs", "nsq").dropDuplicates(keys + ["text"]).join(names, keys + ["text"])
-
-    def blocks(df, column):
-        return df.groupBy(*keys).agg(F.ceil(F.count("*") / BLOCK).cast("int").alias(column))
-
-    sizes, n = materialize_counted(blocks(left, "_nl").join(blocks(vectors, "_nr"), keys), "blocks")
-
-    def side(df, number, own, other, own_size, other_size):
-        cut = join_lookup(df, sizes, keys, n, "inner").withColumn(own, F.pmod(F.xxhash64("text"), F.col(own_size)).cast("int"))
-        cut = cut.withColumn(other, F.explode(F.sequence(F.lit(0), F.col(other_size) - 1)))
-        extra = [F.col(c) if number else F.lit(None).cast(dict(vectors.dtypes)[c]).alias(c) for c in order + [name]]
-        return cut.select(*keys, "_i", "_j", F.lit(number).alias("_side"), "text", "codes", "tfs", F.col("nsq").cast("bigint").alias("nsq"), *extra)
-
-    rows = side(left, 0, "_i", "_j", "_nl", "_nr").unionByName(side(vectors, 1, "_j", "_i", "_nr", "_nl"))
-    kinds = dict(rows.dtypes)
     given = order + [name]
+    rows = _block_rows(left.select(*keys, "text", "codes", "tfs", "nsq"), vectors, keys, given)
+    kinds = dict(rows.dtypes)
 
     def work(table: pa.Table, starts: np.ndarray):
-        which, length = table.column("_side").to_numpy(), table.column("nsq").to_numpy().astype(np.float64)
-        codes, tfs = (table.column(c).combine_chunks() for c in ("codes", "tfs"))
+        length = table.column("nsq").to_numpy()
         lefts, rights, scores = [], [], []
-        for s, e in zip(starts.tolist(), np.append(starts[1:], table.num_rows).tolist()):
-            m = s + int(np.searchsorted(which[s:e], 1))
-            if s == m or m == e:
-                continue
-            counts = _dense(codes.slice(s, e - s), tfs.slice(s, e - s))
-            size = np.sqrt(length[s:m, None] * length[None, m:e])
-            score = (counts[:m - s] @ counts[m - s:].T).astype(np.float64) / np.where(size > 0, size, 1.0)
+        for s, m, _, score in _block_scores(table, starts):
             best = score.argmax(axis=1)         # right rows come in the order that decides ties
             reached = score[np.arange(m - s), best]
             ok = np.flatnonzero((reached >= threshold) & (length[s:m] > 0))
@@ -178,6 +193,83 @@ def best_matches(left: DataFrame, right: DataFrame, keys: list[str], threshold:
     return materialize(best_row(best, keys + ["text"], [-F.col("score")] + [F.col(o) for o in order] + [F.col(name)], [name, "score"]), "matches", wide=True)
 
 
+# ------------------------------------------------------------------ folds over similar pairs
+def _over_blocks(left: DataFrame, right: DataFrame, keys: list[str], threshold: float, value: str,
+                 fold, kinds: str, names: list[str], block: int) -> DataFrame:
+    """``fold(table, s, m, hits)`` -> columns ``names`` of every pair of blocks, after its keys; right rows rise by ``value``."""
+    rows = _block_rows(left, right, keys, [value], block)
+    types = dict(rows.dtypes)
+
+    def work(table: pa.Table, starts: np.ndarray):
+        for s, m, _, score in _block_scores(table, starts):
+            found = fold(table, s, m, score >= threshold)
+            if len(found[0]):
+                columns = [pa.array([table.column(k)[s].as_py()] * len(found[0]), table.schema.field(k).type) for k in keys]
+                yield from pa.table(columns + found, names=keys + names).combine_chunks().to_batches()
+
+    return map_groups(rows, keys + ["_i", "_j"], work, ", ".join(f"`{k}` {types[k]}" for k in keys) + f", {kinds}", ["_side", value])
+
+
+def similar_weight(left: DataFrame, right: DataFrame, keys: list[str], threshold: float, block: int = 2 * BLOCK) -> DataFrame:
+    """(keys, text, total): the ``weight`` of all right texts whose cosine reaches ``threshold``, the text itself included.
+
+    A pair of blocks yields one row per left text, so rows never grow with pairs.
+    """
+    def fold(table, s, m, hits):
+        weight = table.column("weight").to_numpy(zero_copy_only=False)[m:m + hits.shape[1]].astype(np.int64)
+        met = np.flatnonzero(hits.any(axis=1))
+        total = np.array([weight[row].sum() for row in hits[met]], dtype=np.int64)
+        return [table.column("text").take(s + met), pa.array(total)]
+
+    parts = _over_blocks(left.select(*keys, "text", "codes", "tfs", "nsq"), right.select(*keys, "text", "codes", "tfs", "nsq", F.col("weight").cast("bigint").alias("weight")),
+                         keys, threshold, "weight", fold, "text string, total bigint", ["text", "total"], block)
+    return parts.groupBy(*keys, "text").agg(F.sum("total").alias("total"))
+
+
+def similar_least(left: DataFrame, right: DataFrame, keys: list[str], threshold: float, value: str, block: int = 2 * BLOCK) -> DataFrame:
+    """(keys, text, value): the least ``value`` of the right texts whose cosine reaches ``threshold``, where there is one."""
+    def fold(table, s, m, hits):
+        met = np.flatnonzero(hits.any(axis=1))
+        return [table.column("text").take(s + met), table.column(value).take(m + hits[met].argmax(axis=1))]
+
+    parts = _over_blocks(left.select(*keys, "text", "codes", "tfs", "nsq"), right.select(*keys, "text", "codes", "tfs", "nsq", value),
+                         keys, threshold, value, fold, f"text string, `{value}` string", ["text", value], block)
+    return parts.groupBy(*keys, "text").agg(F.min(value).alias(value))
+
+
+def similar_links(left: DataFrame, right: DataFrame, keys: list[str], threshold: float, block: int = 2 * BLOCK) -> DataFrame:
+    """(keys, a, b): links between the ``node`` of texts whose cosine reaches ``threshold``.
+
+    They join exactly the nodes that all such pairs join, but a pair of blocks
+    yields a star per set of nodes that hang together, not every pair.
+    """
+    def fold(table, s, m, hits):
+        ends = table.column("node").slice(s, hits.shape[0] + hits.shape[1]).combine_chunks().dictionary_encode()
+        place = ends.indices.to_numpy().astype(np.int64)
+        a, b = np.nonzero(hits)
+        root = _least_reachable(place[a], place[b + (m - s)], len(ends.dictionary))
+        moved = np.flatnonzero(root != np.arange(len(root)))
+        return [ends.dictionary.take(pa.array(moved)), ends.dictionary.take(pa.array(root[moved]))]
+
+    found = _over_blocks(left.select(*keys, "text", "codes", "tfs", "nsq", "node"), right.select(*keys, "text", "codes", "tfs", "nsq", "node"),
+                         keys, threshold, "node", fold, "a string, b string", ["a", "b"], block)
+    return found.distinct()
+
+
+def _least_reachable(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
+    """The least number each of 0 .. n - 1 reaches over the links a - b."""
+    root = np.arange(n)
+    while True:
+        least = np.minimum(root[a], root[b])
+        lower = root.copy()
+        np.minimum.at(lower, root[a], least)
+        np.minimum.at(lower, root[b], least)
+        lower = lower[lower]
+        if (lower == root).all():
+            return root
+        root = lower
+
+
 # ------------------------------------------------------------------ catalogue match
 def match_catalogue(versions: DataFrame, catalogue: DataFrame, keys: list[str], version: str,
                     threshold: float, codes: DataFrame, quantity: str | None = None,

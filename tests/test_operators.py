@@ -109,6 +109,41 @@ def test_density_clusters(spark, leaders):
         assert {x["text"]: x["cluster"] for x in got} == want
 
 
+def test_folds_over_similar_pairs_are_those_of_all_pairs(spark):
+    texts = words(60)
+    weight = {t: i % 7 + 1 for i, t in enumerate(texts)}
+    df = profiled(spark, texts).join(spark.createDataFrame(list(weight.items()), "text string, weight bigint"), "text")
+    near = {a: [b for b in texts if cosine(gram_counts(a), gram_counts(b)) >= 0.5] for a in texts if len(a) > 1}
+    total = {r["text"]: r["total"] for r in sim.similar_weight(df, df, ["k"], 0.5, block=16).collect()}
+    assert total == {a: sum(weight[b] for b in bs) for a, bs in near.items()}
+    least = {r["text"]: r["v"] for r in sim.similar_least(df, df.withColumn("v", F.reverse("text")), ["k"], 0.5, "v", block=16).collect()}
+    assert least == {a: min(b[::-1] for b in bs) for a, bs in near.items()}
+    node = df.withColumn("node", F.col("text"))
+    links = materialize(sim.similar_links(node, node, ["k"], 0.5, block=16))
+    got = {r["id"]: r["root"] for r in connected_components(df.select("k", F.col("text").alias("id")), links, ["k"]).collect()}
+    want = {a: a for a in near}
+    for _ in near:
+        want = {a: min(want[b] for b in bs) for a, bs in near.items()}
+    assert got == want
+
+
+def test_density_clusters_write_no_pairs(spark, monkeypatch):
+    texts = [f"1 6 blue ring {i}cv" for i in range(100, 300)]          # all alike
+    written = []
+
+    def counted(df, name="table", wide=False):
+        out = materialize(df, name, wide)
+        written.append((out.count(), name))
+        return out
+
+    monkeypatch.setattr(density, "materialize", counted)
+    for least, cluster in ((150, texts[0]), (300, None)):
+        df = profiled(spark, texts).withColumns({"weight": F.lit(1), "least": F.lit(least)})
+        got = density.dense_clusters(df, ["k"], 0.7, 1).collect()
+        assert {r["text"]: r["cluster"] for r in got} == {t: cluster for t in texts}
+    assert max(written)[0] <= len(texts)
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(0, 30) if i not in (9, 19)]
     nodes = spark.createDataFrame([("k", f"{i:02d}") for i in range(33)], "k string, id string")
