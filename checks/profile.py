@@ -5,10 +5,12 @@ from pyspark.sql import functions as F
 from checks import query
 from checks import fixture as fx
 from checks.fixture import CLEAN, L, LC, SPLIT, catalogue, listings, near, plain, raw, sql_near, table
+from lotwise import fixed_values as fv
 from lotwise.functions import price as pr, text as tx
 from lotwise.operators import relational as rel, stats
 from lotwise.operators.quantiles import exact_percentiles, percentile_clip
 from lotwise.plans.clean import clean_listings
+from lotwise.session import materialize
 
 c = F.col
 
@@ -17,6 +19,14 @@ def cleaned(spark, sf):
     return plain(clean_listings(raw(spark, sf)))
 
 
+def version_counts(spark, sf):
+    """(marca, version, n) of cleaned versions: listings alike in all that the version is made of are counted, then cleaned once."""
+    read = [fv.VERSION, fv.TITLE, fv.FUEL, fv.BRAND, fv.MODEL]
+    alike = raw(spark, sf).groupBy(*[c(f"`{x}`") for x in read]).agg(F.count("*").alias("n"))
+    rows = materialize(plain(clean_listings(alike)).select("marca", "version", "n"), "versions", wide=True)
+    return rows.where("version is not null")
+
+
 # ------------------------------------------------------------------ B
 @query("drop_columns_b1", f"{L} SELECT idx, marca, precio FROM listings")
 def drop_columns(spark, sf):
@@ -174,7 +184,7 @@ _CLUSTERS = """n AS (SELECT marca, version, count(*) AS n FROM clean WHERE versi
 
 @query("cluster_labels_d8", f"{CLEAN}, {_CLUSTERS} SELECT marca, version AS label, CAST(size AS BIGINT) AS size FROM r WHERE rn = 1")
 def cluster_labels(spark, sf):
-    return stats.cluster_labels(cleaned(spark, sf).where("version is not null"), ["marca"], "version")
+    return stats.cluster_labels(version_counts(spark, sf), ["marca"], "version", "n")
 
 
 @query("category_means_d9", f"""{L} SELECT version, {sql_near('avg(precio)')} AS mean, count(precio) AS n,
@@ -278,7 +288,7 @@ def straight_line(spark, sf):
 
 @query("cluster_summary_d17", f"{CLEAN}, {_CLUSTERS} SELECT marca, version AS label, CAST(size AS BIGINT) AS size FROM r WHERE rn = 1 ORDER BY size DESC, marca")
 def cluster_summary(spark, sf):
-    out = stats.cluster_labels(cleaned(spark, sf).where("version is not null"), ["marca"], "version")
+    out = stats.cluster_labels(version_counts(spark, sf), ["marca"], "version", "n")
     return out.orderBy(F.desc("size"), "marca")
 
 
@@ -310,7 +320,8 @@ def group_mode(spark, sf):
 
 @query("percent_of_total_e3", f"""{CLEAN} SELECT version, count(*) AS n, round_even(count(*) * 100.0::DOUBLE / (SELECT count(version) FROM clean), 2) AS pct FROM clean WHERE version IS NOT NULL GROUP BY version""")
 def percent(spark, sf):
-    return stats.share_of_total(stats.value_counts(cleaned(spark, sf), "version"))
+    counts = version_counts(spark, sf).groupBy("version").agg(F.sum("n").alias("n"))
+    return stats.share_of_total(materialize(counts, "counts", wide=True))       # the total reads them once more
 
 
 @query("first_best_e4", """SELECT o_custkey, o_orderkey, o_totalprice FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice DESC, o_orderkey) AS rn FROM orders) WHERE rn = 1""")
