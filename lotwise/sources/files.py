@@ -5,6 +5,8 @@ from pyspark.sql.types import LongType, StringType, StructType
 
 from lotwise import fixed_values as fx
 
+CSV_ROWS = 200_000         # of one file
+
 
 def read_csv(spark: SparkSession, path: str, schema: StructType, na_words: list[str] | None = None) -> DataFrame:
     """CSV with a header.  Fields are read as text, missing-value words become
@@ -32,8 +34,9 @@ def read_catalogue(spark: SparkSession, path: str) -> DataFrame:
     return rows.toDF("brand", "model", "version", "quantity").where("version is not null")
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    (df.write.mode("overwrite").option("header", True).option("ignoreLeadingWhiteSpace", False)
+def write_csv(df: DataFrame, path: str, rows: int = CSV_ROWS) -> None:
+    """CSV files of at most ``rows`` rows: a file whose fields may hold line ends is read by one task."""
+    (df.write.mode("overwrite").option("maxRecordsPerFile", rows).option("header", True).option("ignoreLeadingWhiteSpace", False)
      .option("ignoreTrailingWhiteSpace", False).option("quote", '"').option("escape", '"').csv(path))
 
 

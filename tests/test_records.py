@@ -1,8 +1,8 @@
 from pathlib import Path
 from urllib.parse import urlparse
 
-from checks import sources
-from lotwise.sources import cars
+from checks import profile, sources
+from lotwise.sources import cars, files
 
 
 def test_records_lie_in_few_files(spark, tmp_path):
@@ -13,3 +13,21 @@ def test_records_lie_in_few_files(spark, tmp_path):
     assert len(cars.read_records(spark, path, one_per_file=False).collect()) == 240
     assert sorted(int(r["version"]) for r in sources.broken_records(spark, str(tmp_path)).collect()) == list(range(0, 300, 5))
     assert sources.car_records(spark, str(tmp_path)).count() == sum(r[4] != 9 and r[4] % 2 == 0 for r in rows)
+
+
+def test_csv_files_hold_a_bounded_number_of_rows(spark, tmp_path):
+    rows = [(i, f'line {i}\nand "more"') for i in range(1000)]
+    df = spark.createDataFrame(rows, "id int, note string")
+    files.write_csv(df.coalesce(1), str(tmp_path / "csv"), rows=100)
+    assert len(list((tmp_path / "csv").glob("*.csv"))) == 10
+    assert sorted(map(tuple, files.read_csv(spark, str(tmp_path / "csv"), df.schema).collect())) == rows
+
+
+def test_listings_alike_are_cleaned_once(spark, tmp_path):
+    items = [(1, i % 2, 0, 1, 1.0, 100.0, "A" if i % 4 else "N", "O") for i in range(200)]
+    spark.createDataFrame(items, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_returnflag string, l_linestatus string").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(0, "blue ring", "B", "T"), (1, "old bolt", None, "T")], "p_partkey long, p_name string, p_brand string, p_type string").write.parquet(str(tmp_path / "part.parquet"))
+    found = profile.version_counts(spark, str(tmp_path))
+    assert found.count() == 3 and found.agg({"n": "sum"}).first()[0] == 200
+    want = profile.cleaned(spark, str(tmp_path)).where("version is not null").groupBy("marca", "version").count().collect()
+    assert sorted(map(repr, found.groupBy("marca", "version").sum("n").collect())) == sorted(repr(r).replace("count=", "sum(n)=") for r in want)
