@@ -6,7 +6,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from lotwise import fixed_values as fx
 from lotwise.functions.text import ascii_words, repair_letters
 from lotwise.operators.similarity import profiles, sparse_dot, vocabulary
-from lotwise.session import materialize
+from lotwise.session import join_lookup, materialize, materialize_counted
 
 TEXTS = ["Marca", "Modelo", "Version", "Carroceria", "Segmento", "Propulsion", "Transmision",
          "Potencia", "Cilindrada", "Origen", "Garantia"]
@@ -65,16 +65,19 @@ def find_versions(requests: DataFrame, records: DataFrame) -> DataFrame:
     asked = materialize(requests.withColumn("given", _given_mask()), "asked", wide=True)
     sets = [row["given"] for row in asked.select("given").distinct().collect()]     # at most 2 ** 6 numbers
     keys = ["given", "make", "model"] + OPTIONAL
-    sides = records.withColumn("given", F.explode(F.array(*[F.lit(m) for m in sets])))
-    shared = sides.select("record_id", F.col("trim").alias("record_trim"), *_masked(keys))
+    known, texts = _trim_profiles(asked, records)
+    sides = _with_profile(records, known, texts, "r").withColumn("given", F.explode(F.array(*[F.lit(m) for m in sets])))
+    shared = sides.select("record_id", "r", *_masked(keys))
     left = asked.select("request_id", "trim", *_masked(keys))
-    joined = materialize(left.join(shared, keys).select("request_id", "trim", "record_id", "record_trim"), "candidates", wide=True)
-    scored = _trim_scores(joined)
-    order = [F.desc("score"), F.col("record_id")]
-    place = F.row_number().over(Window.partitionBy("request_id").orderBy(*order))
-    sizes = joined.groupBy("request_id").agg(F.count("*").alias("candidates"))
-    return (scored.withColumn("place", place).join(sizes, "request_id")
-            .withColumn("is_match", F.col("candidates") == 1))
+    # counted by group of records, so a request knows its candidates before any pair is formed
+    sizes = (left.join(shared.groupBy(*keys).agg(F.count("*").alias("records")), keys)
+             .groupBy("request_id").agg(F.sum("records").alias("candidates")))
+    left = _with_profile(left, known, texts, "q").join(materialize(sizes, "sizes", wide=True), "request_id")
+    pairs = left.join(shared, keys)
+    place = F.row_number().over(Window.partitionBy("request_id").orderBy(F.desc("score"), F.col("record_id")))
+    return (pairs.select("request_id", "record_id", _trim_score("q", "r").alias("score"), "candidates")
+            .withColumn("place", place).withColumn("is_match", F.col("candidates") == 1)
+            .select("request_id", "record_id", "score", "place", "candidates", "is_match"))
 
 
 def _given_mask():
@@ -97,20 +100,26 @@ def _masked(keys):
     return out
 
 
-def _trim_scores(pairs: DataFrame) -> DataFrame:
-    """Cosine of 2-3-grams between the two trims of each pair; 0 where either has none."""
-    texts = (pairs.select(ascii_words(F.col("trim")).alias("text"))
-             .unionByName(pairs.select(ascii_words(F.col("record_trim")).alias("text"))).where("text <> ''"))
+def _trim_profiles(requests: DataFrame, records: DataFrame) -> tuple[DataFrame, int]:
+    """Gram counts of the distinct trims of both sides, and their number."""
+    trims = requests.select("trim").distinct().unionByName(records.select("trim").distinct())
+    texts = trims.select(ascii_words(F.col("trim")).alias("text")).where("text <> ''")
     texts = materialize(texts.distinct(), "trims", wide=True)
-    known = materialize(profiles(texts, vocabulary(texts)), "profiles", wide=True)
-    a = known.select(F.col("text").alias("ta"), F.col("codes").alias("ca"), F.col("tfs").alias("fa"), F.col("nsq").alias("na"))
-    b = known.select(F.col("text").alias("tb"), F.col("codes").alias("cb"), F.col("tfs").alias("fb"), F.col("nsq").alias("nb"))
-    both = (pairs.withColumn("ta", ascii_words(F.col("trim"))).withColumn("tb", ascii_words(F.col("record_trim")))
-            .join(a, "ta", "left").join(b, "tb", "left"))
-    empty = F.array().cast("array<int>")
-    dot = sparse_dot(F.coalesce("ca", empty), F.coalesce("fa", empty), F.coalesce("cb", empty), F.coalesce("fb", empty))
-    return both.withColumn("dot", dot).select(
-        "request_id", "record_id", F.coalesce(F.col("dot") / F.sqrt(F.col("na") * F.col("nb")), F.lit(0.0)).alias("score"))
+    return materialize_counted(profiles(texts, vocabulary(texts)), "profiles", wide=True)
+
+
+def _with_profile(df: DataFrame, known: DataFrame, rows: int, name: str) -> DataFrame:
+    """``df`` with the gram counts of its trim in the struct ``name``, null where it has none."""
+    table = known.select("text", F.struct("codes", "tfs", "nsq").alias(name))
+    return join_lookup(df.withColumn("text", ascii_words(F.col("trim"))), table, ["text"], rows).drop("text")
+
+
+def _trim_score(a: str, b: str):
+    """Cosine of 2-3-grams between two trims; 0 where either has none."""
+    def counts(side, part):
+        return F.coalesce(F.col(f"{side}.{part}"), F.array().cast("array<int>"))
+    dot = sparse_dot(counts(a, "codes"), counts(a, "tfs"), counts(b, "codes"), counts(b, "tfs"))
+    return F.coalesce(dot / F.sqrt(F.col(f"{a}.nsq") * F.col(f"{b}.nsq")), F.lit(0.0))
 
 
 # ------------------------------------------------------------------ match answers

@@ -31,3 +31,34 @@ def test_listings_alike_are_cleaned_once(spark, tmp_path):
     assert found.count() == 3 and found.agg({"n": "sum"}).first()[0] == 200
     want = profile.cleaned(spark, str(tmp_path)).where("version is not null").groupBy("marca", "version").count().collect()
     assert sorted(map(repr, found.groupBy("marca", "version").sum("n").collect())) == sorted(repr(r).replace("count=", "sum(n)=") for r in want)
+
+
+def test_candidates_are_ranked_without_written_pairs(spark):
+    requests = [("a", "m", "t", "blue ring", "2015", None), ("b", "m", "t", "Ring", None, None), ("b", "m", "t", "Ring", None, None),
+                ("c", "m", "t", None, None, "gas"), ("d", "m", "x", "bolt", None, ""), ("e", "m", "t", "!", "2016", "gas"), (None, "m", "t", "ring", None, None)]
+    records = [(i, "m", "t", ["blue ring", "ring", "red bolt", None, ""][i % 5], str(2015 + i % 2), "gas" if i % 3 else None) for i in range(40)] + [(99, None, "t", "ring", "2015", "gas")]
+    rest = "bodystyle string, transmission string, displacement string, power string"
+    asked, listed = (spark.createDataFrame([(*r, None, None, None, None) for r in rows], f"{key}, make string, model string, trim string, year string, fuel string, {rest}")
+                     for rows, key in ((requests, "request_id string"), (records, "record_id int")))
+
+    def cosine(a, b):
+        a, b = ({g: t.count(g) and sum(t[i:i + len(g)] == g for i in range(len(t))) for n in (2, 3) for g in {t[i:i + n] for i in range(len(t) - n + 1)}}
+                for t in ((x or "").lower().strip("!") for x in (a, b)))
+        size = sum(v * v for v in a.values()) * sum(v * v for v in b.values())
+        return sum(v * b.get(g, 0) for g, v in a.items()) / size ** 0.5 if size else 0.0
+
+    want = {}
+    for key, make, model, trim, year, fuel in requests:
+        for i, m, t, other, y, f in records:
+            if key is not None and (m, t) == (make, model) and (not year or y == year) and (not fuel or f == fuel):
+                want.setdefault(key, []).append((i, round(cosine(trim, other), 9)))
+    found = cars.find_versions(asked, listed)
+    got = {}
+    for r in found.collect():
+        got.setdefault(r["request_id"], []).append((r["record_id"], round(r["score"], 9)))
+        assert r["candidates"] == len(want[r["request_id"]]) and r["is_match"] == (r["candidates"] == 1)
+    assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in want.items()}
+    order = [r["record_id"] for r in found.where("request_id = 'a'").orderBy("place").collect()]
+    assert order == [i for i, _ in sorted(want["a"], key=lambda x: (-x[1], x[0]))]
+    plan = found.select("request_id", "record_id", "is_match")._jdf.queryExecution().toString()
+    assert not any(x in plan.split("== Physical Plan ==")[1] for x in ("Window", "ArrowEvalPython", "candidates-"))
