@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from checks import query
 from checks.fixture import CLEAN, L, SPLIT, listings, table
 from checks.fitted import fitted, parts
-from checks.profile import cleaned
+from checks.profile import version_counts
 from lotwise.functions.text import ascii_words_squeezed
 from lotwise.operators import colours, embed, linkage, neighbours, outliers, similarity as sim
 
@@ -57,7 +57,7 @@ def description_scores(spark, sf):
 
 @query("linkage_clusters_i4")
 def linkage_clusters(spark, sf):
-    df = cleaned(spark, sf).where("version is not null").groupBy("marca", "modelo", "version").agg(F.count("*").alias("n"))
+    df = version_counts(spark, sf).groupBy("marca", "modelo", "version").agg(F.sum("n").alias("n"))
     return linkage.linkage_labels(df.withColumn("text", ascii_words_squeezed(c("version"))), ["marca", "modelo"], "version")
 
 

@@ -20,10 +20,10 @@ def cleaned(spark, sf):
 
 
 def version_counts(spark, sf):
-    """(marca, version, n) of cleaned versions: listings alike in all that the version is made of are counted, then cleaned once."""
+    """(marca, modelo, version, n) of cleaned versions: listings alike in all that the version is made of are counted, then cleaned once."""
     read = [fv.VERSION, fv.TITLE, fv.FUEL, fv.BRAND, fv.MODEL]
     alike = raw(spark, sf).groupBy(*[c(f"`{x}`") for x in read]).agg(F.count("*").alias("n"))
-    rows = materialize(plain(clean_listings(alike)).select("marca", "version", "n"), "versions", wide=True)
+    rows = materialize(plain(clean_listings(alike)).select("marca", "modelo", "version", "n"), "versions", wide=True)
     return rows.where("version is not null")
 
 

@@ -1,7 +1,7 @@
 from pathlib import Path
 from urllib.parse import urlparse
 
-from checks import profile, sources
+from checks import numeric, profile, sources
 from lotwise.sources import cars, files
 
 
@@ -62,3 +62,15 @@ def test_candidates_are_ranked_without_written_pairs(spark):
     assert order == [i for i, _ in sorted(want["a"], key=lambda x: (-x[1], x[0]))]
     plan = found.select("request_id", "record_id", "is_match")._jdf.queryExecution().toString()
     assert not any(x in plan.split("== Physical Plan ==")[1] for x in ("Window", "ArrowEvalPython", "candidates-"))
+
+
+def test_versions_are_counted_by_model_before_cleaning(spark, tmp_path):
+    items = [(1, i % 3, 0, 1 + i % 4, 1.0, 100.0, "A" if i % 4 else "N", "O") for i in range(400)]
+    spark.createDataFrame(items, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_returnflag string, l_linestatus string").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(0, "blue ring", "B", "T"), (1, "old bolt", None, "T"), (2, "red nut", "B", None)], "p_partkey long, p_name string, p_brand string, p_type string").write.parquet(str(tmp_path / "part.parquet"))
+    found = profile.version_counts(spark, str(tmp_path))
+    want = profile.cleaned(spark, str(tmp_path)).where("version is not null").groupBy("marca", "modelo", "version").count().collect()
+    got = found.groupBy("marca", "modelo", "version").sum("n").collect()
+    assert sorted(map(repr, got)) == sorted(repr(r).replace("count=", "sum(n)=") for r in want)
+    plan = numeric.linkage_clusters(spark, str(tmp_path))._jdf.queryExecution().toString()
+    assert "lineitem" not in plan
