@@ -9,7 +9,7 @@ from lotwise import fixed_values as fixed
 from lotwise.operators import boosting, embed, encoders as enc, impute, stats
 from lotwise.operators.relational import feature_columns
 from lotwise.plans import train as tr
-from lotwise.plans.clean import clean_listings
+from lotwise.plans.clean import clean_by_version, clean_listings
 from lotwise.plans.transform import feature_pipeline, fit_features
 from lotwise.session import materialize, scratch_path
 
@@ -43,7 +43,7 @@ def rounded(df):
 
 @query("feature_pipeline_i23")
 def pipeline(spark, sf):
-    listed = materialize(enc.hash_split(clean_listings(raw(spark, sf)), "idx"), "clean")
+    listed = materialize(enc.hash_split(clean_by_version(raw(spark, sf)), "idx"), "clean")
     _, frames = fit_features(listed, feature_pipeline(catalogue(spark, sf)))
     out = None
     for name, frame in frames.items():

@@ -48,9 +48,14 @@ def turbo_flag(engine: Column, version: Column) -> Column:
     return text.rlike(fx.TURBO_PATTERN).cast("int")
 
 
-def horse_power(*texts: Column) -> Column:
-    found = F.coalesce(*[first_match(t, fx.POWER_PATTERN) for t in texts])
-    return found.try_cast("bigint")
+def power_text(text: Column) -> Column:
+    return first_match(text, fx.POWER_PATTERN)
+
+
+def horse_power(*texts: Column, found: Column | None = None) -> Column:
+    """The first number of horse powers; ``found`` is what a text before them holds, if that is known."""
+    known = [] if found is None else [found]
+    return F.coalesce(*known, *[power_text(t) for t in texts]).try_cast("bigint")
 
 
 def traction(version: Column) -> Column:
@@ -64,10 +69,10 @@ def engine_size(text: Column) -> Column:
     return F.translate(found, ",", ".").try_cast("double")
 
 
-def engine_repair(engine: Column, version: Column) -> Column:
-    """A null engine stays null; only a text that is no number falls back."""
+def engine_repair(engine: Column, version: Column, size: Column | None = None) -> Column:
+    """A null engine stays null; only a text that is no number falls back.  ``size`` is the version's, if that is known."""
     return F.when(engine.isNotNull(),
-                  F.coalesce(to_number(engine), engine_size(engine), engine_size(version)))
+                  F.coalesce(to_number(engine), engine_size(engine), engine_size(version) if size is None else size))
 
 
 def engine_leading(engine: Column) -> Column:
@@ -132,9 +137,13 @@ def drop_row_words(c: Column, fuel: Column, brand: Column, model: Column, body:
     return strip(F.regexp_replace(c, r"(?U)\s+", " "))
 
 
+def bare_version(version: Column) -> Column:
+    """The version without engine, gearbox, power and traction."""
+    return drop_traction(drop_power(drop_gearbox(drop_engine_size(version))))
+
+
 def clean_version(version: Column, fuel: Column, brand: Column, model: Column, body: Column) -> Column:
-    bare = drop_traction(drop_power(drop_gearbox(drop_engine_size(version))))
-    return drop_row_words(bare, fuel, brand, model, body)
+    return drop_row_words(bare_version(version), fuel, brand, model, body)
 
 
 def version_from_title(title: Column, fuel: Column, brand: Column, model: Column, body: Column) -> Column:

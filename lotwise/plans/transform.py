@@ -1,7 +1,7 @@
 """Stage two: the fitted feature pipeline in its default order."""
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.ml import Estimator, Pipeline, PipelineModel
+from pyspark.sql import DataFrame, functions as F
 
 from lotwise import fixed_values as fx
 from lotwise.operators.embed import DescriptionScores
@@ -39,8 +39,16 @@ def fit_features(parts: DataFrame, pipeline: Pipeline, train: str = "train") ->
     """Fit on the training part, transform every part with the same state.
 
     ``parts`` has a ``split`` column; the result holds one frame per split,
-    all with the columns fixed at fit.
+    all with the columns fixed at fit.  All parts go through a step together, so
+    the training rows are transformed once and checkpoints hold every row once.
     """
-    model = pipeline.fit(parts.where(parts["split"] == train).drop("split"))
-    names = ["train", "validation", "test"]
-    return model, {n: model.transform(parts.where(parts["split"] == n).drop("split")) for n in names}
+    def part(name):
+        return rows.where(F.col("split") == name).drop("split")
+
+    rows, steps = parts, []
+    for step in pipeline.getStages():
+        if isinstance(step, Estimator):
+            step = step.fit(part(train))
+        steps.append(step)
+        rows = step.transform(rows)
+    return PipelineModel(steps), {n: part(n) for n in ("train", "validation", "test")}

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from lotwise.functions import price as pr, text as tx
-from lotwise.plans.clean import clean_listings
+from lotwise.plans.clean import clean_by_version, clean_listings
 from lotwise import fixed_values as fx
 
 
@@ -100,3 +100,37 @@ def test_streaming_frames_take_the_same_expressions(spark, tmp_path):
         assert sorted(r["km"] for r in spark.table("km_out").collect()) == [0.0, 58000.0]
     finally:
         q.stop()
+
+
+def test_cleaning_by_distinct_version_equals_cleaning_by_row(spark):
+    values = [None, "", "1.6 Large Ring 4x4 6AT 120cv", "super TSI plus", "2,0 T nafta toyota nafta corolla", "TOYOTA", "a  b", "nan", "1.6"]
+    owns = [("Nafta", "Toyota", "Corolla", None), (None, "super plus", "large", "suv"), ("toyota", "", None, "nan"), (None, None, None, None)]
+    rows = [(v, e, *own, "Toyota large 90 hp", t) for v in values for e in (None, "1.6", "2,0 TSI", "x") for own in owns for t in (None, "motor 150 cv")] * 2
+    df = spark.createDataFrame(rows, ", ".join(f"`{c}` string" for c in (fx.VERSION, fx.ENGINE, fx.FUEL, fx.BRAND, fx.MODEL, fx.BODY, fx.TITLE, fx.TEXT)))
+    df = df.withColumn(fx.KM, F.lit("0")).withColumn(fx.CAMERA, F.lit(None).cast("double"))
+    plain = clean_listings(df)
+    for most in (1, 1000):          # above the limit every row is cleaned on its own
+        found = clean_by_version(df, most)
+        assert found.schema == plain.schema
+        assert found.exceptAll(plain).count() == 0 and plain.exceptAll(found).count() == 0
+    assert clean_by_version(df.drop(fx.VERSION)).columns == clean_listings(df.drop(fx.VERSION)).columns
+
+
+def test_every_part_goes_through_a_step_once(spark):
+    from pyspark.ml import Pipeline
+    from lotwise.operators.encoders import Standardize
+    from lotwise.operators.fitted import PlainStep
+    from lotwise.plans.transform import fit_features
+
+    seen = []
+
+    class Noted(PlainStep):
+        def _transform(self, df):
+            seen.append(sorted(r["x"] for r in df.collect()))
+            return df
+
+    df = spark.createDataFrame([(1.0, "train"), (3.0, "train"), (5.0, "validation"), (7.0, "test")], "x double, split string")
+    model, frames = fit_features(df, Pipeline(stages=[Noted(), Standardize(["x"])]))
+    assert seen == [[1.0, 3.0, 5.0, 7.0]]
+    assert {n: [r["x"] for r in f.orderBy("x").collect()] for n, f in frames.items()} == {"train": [-1.0, 1.0], "validation": [3.0], "test": [5.0]}
+    assert model.transform(df).columns == ["x", "split"]
