@@ -85,11 +85,15 @@ def materialize(df: DataFrame, name: str = "table", wide: bool = False) -> DataF
     return written
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def forget(spark: SparkSession, *written: DataFrame) -> None:
     """Delete written tables that nothing reads any more, and have Spark drop the shuffle files of frames out of use."""
     for table in written:
-        folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table._scratch_path)
-        folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+        delete_path(spark, table._scratch_path)
     gc.collect()
     spark.sparkContext._jvm.System.gc()     # the cleaner learns of dead frames by garbage collection only
 

@@ -186,3 +186,18 @@ def test_margins_move_once_per_tree(spark, monkeypatch):
         (model,) = bo.fit_boosted(df, "y", ["a"], [bo.Boosting(trees=5, depth=2)], key="id")
         found.append([v for t in model.trees for v in t.value])
     assert found[0] == pytest.approx(found[1], abs=1e-9)
+
+
+def test_features_of_few_bins_share_a_byte():
+    plain, missing = [3, 2, 200, 2, 255, 25], [True, False, True, False, True, False]
+    packs, draw = bo.Packs.shared(plain, missing), np.random.default_rng(5)
+    bins = np.array([draw.integers(0, p, 500) for p in plain]).astype(np.uint8)
+    for f in np.flatnonzero(missing):
+        bins[f, draw.random(500) < 0.2] = bo.MISSING
+    bytes_, weights = packs.pack(bins), draw.normal(size=500)
+    assert len(bytes_) < len(plain) and max(packs.sizes) <= 256
+    for f, p in enumerate(plain):
+        at = packs.of[f]
+        assert (packs.codes[f][bytes_[at]] == bins[f]).all()
+        want = np.bincount(np.where(bins[f] == bo.MISSING, p, bins[f]), weights, p + 1)
+        assert np.allclose(packs.sums_of(f, np.bincount(bytes_[at], weights, 256)), want)
