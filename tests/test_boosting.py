@@ -201,3 +201,18 @@ def test_features_of_few_bins_share_a_byte():
         assert (packs.codes[f][bytes_[at]] == bins[f]).all()
         want = np.bincount(np.where(bins[f] == bo.MISSING, p, bins[f]), weights, p + 1)
         assert np.allclose(packs.sums_of(f, np.bincount(bytes_[at], weights, 256)), want)
+
+
+def test_fits_of_a_search_grow_some_at_a_time(spark, monkeypatch):
+    x, y = rows_of(120, seed=4)
+    df = frame_of(spark, x, y)
+    sets = [bo.Boosting(trees=t, depth=2, rate=0.3, lam=lam) for t, lam in ((1, 1.0), (3, 1.0), (2, 2.0))]
+    found, held, started = [], [], bo.Ready.started
+    monkeypatch.setattr(bo.Ready, "started", lambda self, bases: held.append(len(bases)) or started(self, bases))
+    for many in (8, 2):
+        monkeypatch.setattr(bo, "FITS", many)
+        models = bo.fit_boosted(df, "y", FEATURES, sets, key="id")
+        assert [len(m.trees) for m in models] == [1, 3, 2]
+        found.append([t for m in models for t in m.trees])
+    assert all(a.feature == b.feature and a.cut == b.cut and a.value == pytest.approx(b.value) for a, b in zip(*found, strict=True))
+    assert held == [3, 2, 1]            # margins of two fits a row, however many sets there are
