@@ -107,9 +107,8 @@ def broken_records(spark, sf):
   FROM (SELECT replace(idx, '-', '') AS row_id, descripcion FROM listings) t WHERE trim(descripcion) <> ''""")
 def request_lines(spark, sf):
     df = listings(spark, sf).select(F.replace("idx", F.lit("-"), F.lit("")).alias("row_id"), "descripcion")
-    lines = labels.request_lines(df, "row_id", "descripcion", "Mark the kinds of damage the text names, as JSON.")
     path = scratch_path(spark, "requests")
-    lines.write.text(path)
+    labels.write_requests(df, path, key="row_id", text="descripcion", instruction="Mark the kinds of damage the text names, as JSON.")
     r = F.from_json("value", "custom_id string, body struct<messages: array<struct<role: string, content: string>>, max_tokens: int>")
     return spark.read.text(path).select(r.alias("r")).select(
         "r.custom_id", c("r.body.messages")[1]["content"].alias("user_text"), F.size("r.body.messages").alias("messages"),

@@ -2,6 +2,7 @@
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+REQUESTS = 200_000         # lines of one file
 FLAGS = ["cosmetic_damage", "functional_damage", "severe_damage"]
 _RESPONSE = ("custom_id string, response struct<body: struct<choices: array<struct<message: struct<content: string>>>>>")
 
@@ -20,8 +21,9 @@ def request_lines(df: DataFrame, key: str, text: str, instruction: str, model: s
     return df.where(F.col(text).rlike(r"(?U)\S")).select(F.to_json(request).alias("value"))
 
 
-def write_requests(df: DataFrame, path: str, **settings) -> None:
-    request_lines(df, **settings).write.mode("overwrite").text(path)
+def write_requests(df: DataFrame, path: str, lines: int = REQUESTS, **settings) -> None:
+    """Gzip files of at most ``lines`` request lines: all lines repeat the instruction, and one task reads a compressed file whole."""
+    (request_lines(df, **settings).write.mode("overwrite").option("compression", "gzip").option("maxRecordsPerFile", lines).text(path))
 
 
 def _parsed(lines: DataFrame) -> DataFrame:
